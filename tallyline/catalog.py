@@ -528,7 +528,7 @@ def _mode_counts(spark, sf_dir, mode):
         ("product_id", clean.pruned_products(star.products)),
     ]
     path = fresh_path(spark, f"mode_{mode}")
-    with modes.joined(mode, star.txns, dimensions) as frame:
+    with modes.joined(mode, star.txns, dimensions, ["region"]) as frame:
         counts = reports.count_by_region(frame)
         if mode != "full":
             return counts

@@ -11,7 +11,6 @@ from tallyline.session import build_session
 from tallyline.sinks.tables import Written, write_by_month, write_table
 from tallyline.sources.tables import STAR_TABLES, Star
 
-PARTITIONS = 8
 KEYED_FILES = 16
 
 
@@ -20,7 +19,7 @@ def star_frames(
     n_customers: int = 50_000,
     n_products: int = 5_000,
     n_txns: int = 1_000_000,
-    partitions: int = PARTITIONS,
+    partitions: int | None = None,
     seed: int = star.SEED,
 ) -> Star:
     return Star(
@@ -35,7 +34,7 @@ def keyed_frames(
     n_customers: int = 10_000,
     n_products: int = 3_000,
     n_txns: int = 200_000,
-    partitions: int = PARTITIONS,
+    partitions: int | None = None,
     seed: int = star.SEED,
 ) -> dict[str, DataFrame]:
     return {
@@ -48,7 +47,7 @@ def keyed_frames(
 
 
 def state_frames(
-    spark: SparkSession, n_sales: int = 500_000, partitions: int = PARTITIONS
+    spark: SparkSession, n_sales: int = 500_000, partitions: int | None = None
 ) -> dict[str, DataFrame]:
     return {
         "sales": states.state_sales(ids(spark, n_sales, partitions)),
@@ -86,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--num_customers", type=int, default=50_000)
     parser.add_argument("--num_products", type=int, default=5_000)
     parser.add_argument("--num_txns", type=int, default=1_000_000)
-    parser.add_argument("--partitions", type=int, default=PARTITIONS)
+    parser.add_argument("--partitions", type=int)
     parser.add_argument("--write", action="store_true", help="write; otherwise a dry run")
     args = parser.parse_args(argv)
     spark = build_session("tallyline-generate")

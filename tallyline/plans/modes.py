@@ -27,12 +27,18 @@ def joined(
     mode: str,
     facts: DataFrame,
     dimensions: Sequence[tuple[str, DataFrame]],
+    columns: Sequence[str],
     partitions: int = TUNED_PARTITIONS,
 ) -> Iterator[DataFrame]:
-    """Facts inner-joined with their dimensions, laid out as ``mode`` says."""
+    """Facts inner-joined with their dimensions, laid out as ``mode`` says.
+
+    Only ``columns`` are moved and kept, the ones the caller will read.
+    """
     if mode not in MODES:
         raise ValueError(f"unknown mode: {mode}")
-    result = join_dimensions(facts, dimensions, how="inner", strategy=STRATEGY[mode])
+    result = join_dimensions(facts, dimensions, how="inner", strategy=STRATEGY[mode]).select(
+        *columns
+    )
     if mode != "full":
         yield result
         return

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,19 +55,15 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
     try:
         writer.save(path)
-    except AnalysisException as error:
-        raise_if_unknown_format(error, fmt)
+    except (PySparkException, Py4JJavaError) as error:
+        if "DATA_SOURCE_NOT_FOUND" in str(error):
+            raise FormatUnavailable(
+                f"no data source '{fmt}' in this session; add its package or use parquet"
+            ) from error
         raise
     return plan
 
 
-def raise_if_unknown_format(error: Exception, fmt: str) -> None:
-    if "DATA_SOURCE_NOT_FOUND" in str(error) or "Failed to find the data source" in str(error):
-        raise FormatUnavailable(
-            f"no data source '{fmt}' in this session; add its package or use parquet"
-        ) from error
-
-
 def write_by_month(
     df: DataFrame, path: str, ts: str = "txn_ts", *, dry_run: bool = True
 ) -> Written:

@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
+#: Stands for an unquoted empty field while parsing, so that a quoted one stays empty text.
+ABSENT = "\u0001absent"
+
 
 def read_text_csv(
     spark: SparkSession, path: str, columns: list[str], multi_line: bool = False
@@ -28,6 +31,8 @@ def read_text_csv(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("escape", '"')
+        .option("nullValue", ABSENT)
+        .option("emptyValue", "")
         .option("multiLine", multi_line)
         .csv(path)
     )

@@ -22,20 +22,37 @@ from tallyline.functions.money import price
 from tallyline.sources.tables import Star, read_table
 
 
+#: The columns read from each table; given, so that no job is spent on finding them out.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+    "l_tax double, l_returnflag string, l_linestatus string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", SCHEMAS[name])
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
+    # Orders grow like the lines: both sides are shuffled, neither is ever broadcast.
+    orders = table(spark, sf_dir, "orders").hint("merge")
     guest = F.col("o_orderpriority") == "5-LOW"
     unlisted = F.col("l_tax") == F.lit(0.08)
     returned = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     voided = (F.col("l_returnflag") == "A") & (F.col("l_tax") == F.lit(0.0))
     quantity = F.col("l_quantity").cast("int")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.format_string("TXN-%d-%d", "l_orderkey", "l_linenumber").alias("txn_id"),
+        F.concat(F.lit("TXN-"), "l_orderkey", F.lit("-"), "l_linenumber").alias("txn_id"),
         F.col("o_orderdate").alias("txn_ts"),
         F.when(guest, -1 - F.col("o_custkey")).otherwise(F.col("o_custkey")).alias("customer_id"),
         F.when(unlisted, -1 - F.col("l_partkey"))

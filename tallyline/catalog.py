@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {}
 LIMITED_CUSTOMERS = 5_000
 LIMITED_PRODUCTS = 2_000
 SINK_FILES = 16
+HEAD = 8
 
 
 def query(function: Query) -> Query:
@@ -435,7 +436,7 @@ def monthly_total(spark, sf_dir):
 
 @query
 def silver_count(spark, sf_dir):
-    return _sales(spark, sf_dir).agg(F.count(F.lit(1)).alias("row_count"))
+    return clean.count_sales(trade.star(spark, sf_dir))
 
 
 # Reports
@@ -494,6 +495,26 @@ def report_category(spark, sf_dir):
     return doubles(reports.category_report(_sales(spark, sf_dir)), "revenue")
 
 
+@query
+def report_head_monthly(spark, sf_dir):
+    return gold_monthly_region_cat(spark, sf_dir).limit(HEAD)
+
+
+@query
+def report_head_top_customers(spark, sf_dir):
+    return top_customers_region(spark, sf_dir).limit(HEAD)
+
+
+@query
+def report_head_trend(spark, sf_dir):
+    return gold_rev_trend(spark, sf_dir).limit(HEAD)
+
+
+@query
+def report_head_top_products(spark, sf_dir):
+    return gold_top_products(spark, sf_dir).limit(HEAD)
+
+
 # SQL over the registered view
 
 

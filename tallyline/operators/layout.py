@@ -10,17 +10,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread_by_keys(df: DataFrame, n: int, *keys: str, spread: int = 1) -> DataFrame:
-    """Hash the rows into ``n`` partitions by ``keys``.
+def spread_by_keys(
+    df: DataFrame, n: int | None, *keys: str, spread: int = 1
+) -> DataFrame:
+    """Hash the rows into ``n`` partitions by ``keys``; with None, adaptive execution
+    chooses the number.
 
     With ``spread`` above 1 every key goes to up to that many partitions, so a key that
     holds a large part of the rows does not end in one task. The salt is computed from the
     row and its input partition: a retried task sends its rows to the same places.
     """
+    count = [] if n is None else [n]
     if spread <= 1:
-        return df.repartition(n, *keys)
+        return df.repartition(*count, *keys)
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(spread))
-    return df.withColumn("_salt", salt).repartition(n, *keys, "_salt").drop("_salt")
+    return df.withColumn("_salt", salt).repartition(*count, *keys, "_salt").drop("_salt")
 
 
 def group_for_write(df: DataFrame, *keys: str) -> DataFrame:

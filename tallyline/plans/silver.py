@@ -64,12 +64,21 @@ def priced_sales(txns: DataFrame, products: DataFrame) -> DataFrame:
     The one shuffle carries the transaction and the product columns a reader asks for;
     customer attributes are added after it.
     """
-    sellable = products.filter(F.col("base_price") > 0)
-    valid = txns.filter(F.col("quantity") > 0).join(sellable, "product_id")
     order = [name for name in txns.columns if name != "txn_id"]
-    return with_derived(
-        first_copy(valid, "txn_id", order).withColumn("unit_price", F.col("base_price"))
-    )
+    unique = first_copy(_valid(txns, products), "txn_id", order)
+    return with_derived(unique.withColumn("unit_price", F.col("base_price")))
+
+
+def _valid(txns: DataFrame, products: DataFrame) -> DataFrame:
+    sellable = products.filter(F.col("base_price") > 0)
+    return txns.filter(F.col("quantity") > 0).join(sellable, "product_id")
+
+
+def count_sales(star: Star, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Rows of the clean sales. Counting ids needs no survivor, so nothing is sorted."""
+    (products,) = broadcast_if_small(pruned_products(star.products), limit=limit)
+    ids = _valid(star.txns, products).select("txn_id").distinct()
+    return ids.agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def sales(star: Star, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-ROWS_PER_TASK = 2_000_000
+ROWS_PER_TASK = 5_000_000
 
 
 def ids(spark: SparkSession, n: int, partitions: int | None = None) -> DataFrame:

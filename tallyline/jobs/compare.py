@@ -11,7 +11,7 @@ import io
 import re
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,31 +76,36 @@ def outputs(frame: DataFrame) -> list[DataFrame]:
     ]
 
 
+def fingerprint(table: DataFrame) -> DataFrame:
+    """Row count and order-free checksum: equal tables give equal rows, of any size."""
+    checksum = F.sum(F.xxhash64(*table.columns).cast("decimal(38,0)"))
+    return table.agg(F.count(F.lit(1)).alias("row_count"), checksum.alias("checksum"))
+
+
 def run_mode(
     spark: SparkSession,
     mode: str,
     facts: DataFrame,
     dimensions: Sequence[tuple[str, DataFrame]],
-) -> tuple[Measured, list[list[tuple]]]:
+) -> tuple[Measured, list]:
+    """One timed run and the fingerprints of its output tables."""
     read_before, write_before = shuffle_bytes(spark)
     started = time.perf_counter()
     with joined(mode, facts, dimensions, OUTPUT_COLUMNS) as frame:
-        tables = outputs(frame)
-        rows = [sorted((tuple(row) for row in table.collect()), key=repr) for table in tables]
+        prints = [fingerprint(table) for table in outputs(frame)]
+        found = [frame.collect()[0] for frame in prints]
         seconds = time.perf_counter() - started
-        joins = join_types(tables[0])
+        joins = join_types(prints[0])
     read_after, write_after = shuffle_bytes(spark)
-    return (
-        Measured(
-            mode,
-            round(seconds, 3),
-            "+".join(joins),
-            read_after - read_before,
-            write_after - write_before,
-            sum(len(table) for table in rows),
-        ),
-        rows,
+    measured = Measured(
+        mode,
+        round(seconds, 3),
+        "+".join(joins),
+        read_after - read_before,
+        write_after - write_before,
+        sum(row.row_count for row in found),
     )
+    return measured, found
 
 
 def compare(
@@ -114,20 +119,20 @@ def compare(
     expected = None
     best: dict[str, Measured] = {}
     for mode in modes:
-        _, rows = run_mode(spark, mode, facts, dimensions)
+        _, found = run_mode(spark, mode, facts, dimensions)
         if expected is None:
-            expected = rows
-        elif rows != expected:
+            expected = found
+        elif found != expected:
             raise ModesDisagree(f"{mode} differs from {modes[0]}")
     for _ in range(repeats):
         for mode in modes:
-            measured, rows = run_mode(spark, mode, facts, dimensions)
-            if rows != expected:
+            measured, found = run_mode(spark, mode, facts, dimensions)
+            if found != expected:
                 raise ModesDisagree(f"{mode} changed its rows between runs")
             if mode not in best or measured.seconds < best[mode].seconds:
                 best[mode] = measured
-    return spark.createDataFrame([best[mode].__dict__ for mode in modes]).select(
-        *Measured.__dataclass_fields__
+    return spark.createDataFrame([asdict(best[mode]) for mode in modes]).select(
+        *[field.name for field in fields(Measured)]
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 
 #: Bytes counted for a row and for each of its fields besides variable-length contents.
 ROW_OVERHEAD = 16

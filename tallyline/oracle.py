@@ -268,7 +268,7 @@ FROM (SELECT o_orderkey + 1 AS id, {sha('state sale', 'o_orderkey + 1')} AS d FR
 
 
 ORACLE: dict[str, str] = {
-    "scan_parquet": "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_quantity >= 25",
+    "scan_parquet": "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem",
     "scan_guarded": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "scan_csv_typed": f"""WITH {TXNS}
         SELECT txn_id, txn_ts, customer_id, product_id,

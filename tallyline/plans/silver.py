@@ -8,12 +8,19 @@ from pyspark.sql import functions as F
 from tallyline.functions.dates import month_key, order_date
 from tallyline.functions.money import line_amount, price
 from tallyline.operators.cleaning import first_copy
-from tallyline.operators.joins import BROADCAST_LIMIT_BYTES, broadcast_if_small, join_dimensions
+from tallyline.operators.joins import (
+    BROADCAST_LIMIT_BYTES,
+    broadcast_if_small,
+    join_dimensions,
+    measured_bytes,
+)
 from tallyline.sources.tables import Star
 
 CUSTOMER_COLUMNS = ("region", "gender")
 PRODUCT_COLUMNS = ("category", "subcategory", "product_name", "base_price")
 
+TXN_COLUMNS = ("txn_id", "txn_ts", "customer_id", "product_id", "quantity", "channel")
+
 SILVER_COLUMNS = (
     "txn_id", "txn_ts", "customer_id", "product_id", "quantity", "channel",
     "region", "gender", "category", "subcategory", "product_name",
@@ -56,45 +63,67 @@ def enriched(star: Star, strategy: str = "broadcast") -> DataFrame:
     return with_derived(joined.withColumn("unit_price", F.col("base_price")))
 
 
-def priced_sales(txns: DataFrame, products: DataFrame) -> DataFrame:
-    """Valid transactions with product attributes, one row per ``txn_id``.
+def sellable(products: DataFrame) -> DataFrame:
+    """Products that can be sold: the price rule for known and unknown products alike."""
+    return products.filter(F.col("base_price") > 0)
 
-    Invalid copies go first, so a valid copy survives next to an invalid one. Only products
-    with a positive price can join, which is the price rule for known and unknown products.
-    The one shuffle carries the transaction and the product columns a reader asks for;
-    customer attributes are added after it.
-    """
-    order = [name for name in txns.columns if name != "txn_id"]
-    unique = first_copy(_valid(txns, products), "txn_id", order)
-    return with_derived(unique.withColumn("unit_price", F.col("base_price")))
 
+def unique_valid(txns: DataFrame, products: DataFrame, how: str) -> DataFrame:
+    """Valid transactions, one row per ``txn_id``.
+
+    Invalid copies go first, so a valid copy survives next to an invalid one.
+    """
+    bare = txns.select(*TXN_COLUMNS).filter(F.col("quantity") > 0)
+    return first_copy(
+        bare.join(sellable(products), "product_id", how), "txn_id", TXN_COLUMNS[1:]
+    )
 
-def _valid(txns: DataFrame, products: DataFrame) -> DataFrame:
-    sellable = products.filter(F.col("base_price") > 0)
-    return txns.filter(F.col("quantity") > 0).join(sellable, "product_id")
 
+def priced_sales(txns: DataFrame, products: DataFrame, products_are_small: bool) -> DataFrame:
+    """Clean sales with product attributes.
 
-def count_sales(star: Star, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Rows of the clean sales. Counting ids needs no survivor, so nothing is sorted."""
-    (products,) = broadcast_if_small(pruned_products(star.products), limit=limit)
-    ids = _valid(star.txns, products).select("txn_id").distinct()
-    return ids.agg(F.count(F.lit(1)).alias("row_count"))
+    Small products are joined twice by broadcast, first for their keys alone, so that the
+    shuffle of the deduplication carries bare transactions. Large ones are joined once,
+    before it: a second join would be another shuffle of the facts.
+    """
+    if products_are_small:
+        products = F.broadcast(sellable(products))
+        unique = unique_valid(txns, products, "left_semi").join(products, "product_id")
+    else:
+        unique = unique_valid(txns, products, "inner")
+    return with_derived(unique.withColumn("unit_price", F.col("base_price")))
 
 
 def sales(star: Star, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Clean sales without customer attributes, for tables that need none."""
-    (products,) = broadcast_if_small(pruned_products(star.products), limit=limit)
-    return priced_sales(star.txns, products)
+    products = pruned_products(star.products)
+    (size,) = measured_bytes(products)
+    return priced_sales(star.txns, products, size <= limit)
 
 
 def sales_by_customer(
     star: Star, columns=CUSTOMER_COLUMNS, limit: int = BROADCAST_LIMIT_BYTES
 ) -> DataFrame:
-    """Clean sales with chosen customer attributes; unknown customers stay, with NULLs."""
-    products, customers = broadcast_if_small(
-        pruned_products(star.products), pruned_customers(star.customers, columns), limit=limit
+    """Clean sales with chosen customer attributes; unknown customers stay, with NULLs.
+
+    Customers are joined after the deduplication, which has then dropped the copies.
+    """
+    products = pruned_products(star.products)
+    customers = pruned_customers(star.customers, columns)
+    products_size, customers_size = measured_bytes(products, customers)
+    if customers_size <= limit:
+        customers = F.broadcast(customers)
+    priced = priced_sales(star.txns, products, products_size <= limit)
+    return priced.join(customers, "customer_id", "left")
+
+
+def count_sales(star: Star, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Rows of the clean sales. Counting ids needs no survivor, so nothing is sorted."""
+    (products,) = broadcast_if_small(
+        sellable(pruned_products(star.products)).select("product_id"), limit=limit
     )
-    return priced_sales(star.txns, products).join(customers, "customer_id", "left")
+    ids = star.txns.filter(F.col("quantity") > 0).join(products, "product_id", "left_semi")
+    return ids.select("txn_id").distinct().agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def silver(star: Star, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

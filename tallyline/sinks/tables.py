@@ -34,21 +34,23 @@ def write_table(
     *,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    grouped: bool = True,
     files: int | None = None,
     dry_run: bool = True,
 ) -> Written:
     """Replace the table at ``path``.
 
     ``partition_by`` writes one folder per value; rows are grouped first, so a folder gets
-    few files, and a folder with very many rows gets several writers. ``files`` sets the
-    file count instead. Nothing is written unless ``dry_run`` is switched off.
+    few files, and a folder with very many rows gets several writers. ``grouped=False``
+    saves that shuffle where a task has rows for few folders. ``files`` sets the file count
+    instead. Nothing is written unless ``dry_run`` is switched off.
     """
     plan = Written(path, fmt, tuple(partition_by), done=not dry_run)
     if dry_run:
         return plan
     if files:
         df = df.repartition(files)
-    elif partition_by:
+    elif partition_by and grouped:
         df = group_for_write(df, *partition_by)
     writer = df.write.format(fmt).mode("overwrite")
     if partition_by:
@@ -65,11 +67,13 @@ def write_table(
 
 
 def write_by_month(
-    df: DataFrame, path: str, ts: str = "txn_ts", *, dry_run: bool = True
+    df: DataFrame, path: str, ts: str = "txn_ts", *, grouped: bool = True, dry_run: bool = True
 ) -> Written:
     """Parquet in ``year=/month=`` folders taken from a timestamp."""
     dated = df.withColumns({"year": year_part(ts), "month": month_part(ts)})
-    return write_table(dated, path, partition_by=("year", "month"), dry_run=dry_run)
+    return write_table(
+        dated, path, partition_by=("year", "month"), grouped=grouped, dry_run=dry_run
+    )
 
 
 def write_csv(df: DataFrame, path: str, *, dry_run: bool = True) -> Written:

@@ -113,4 +113,4 @@ def test_draws_are_even_and_do_not_repeat_across_partitions(spark):
 
 
 def test_default_partitions_bound_the_rows_of_a_task(spark):
-    assert ids(spark, 100_000_000).rdd.getNumPartitions() == 50
+    assert ids(spark, 100_000_000).rdd.getNumPartitions() == 20

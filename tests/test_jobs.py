@@ -86,7 +86,7 @@ def test_compare_gives_equal_rows_and_less_shuffle(spark, tmp_path):
 
 
 def test_modes_that_differ_are_refused(spark, monkeypatch):
-    answers = iter([(None, [[(1,)]]), (None, [[(2,)]])])
+    answers = iter([(None, [1]), (None, [2])])
     monkeypatch.setattr(compare, "run_mode", lambda *a: next(answers))
     with pytest.raises(compare.ModesDisagree):
         compare.compare(spark, None, [], modes=("baseline", "broadcast"))

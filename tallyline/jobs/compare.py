@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyline.plans.modes import MODES, joined
 from tallyline.session import build_session
-from tallyline.sources.tables import MissingTables, read_if_present
+from tallyline.sources.tables import read_all, read_table
 
 JOIN_NODE = re.compile(r"\b(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)\b")
 
@@ -140,11 +140,7 @@ def keyed_inputs(spark: SparkSession, base: str):
     """Facts and dimensions of the text-keyed tables; the two ``name`` columns are told apart."""
     names = ("transactions", "customers", "products")
     paths = [f"{base.rstrip('/')}/{name}" for name in names]
-    frames = [read_if_present(spark, path) for path in paths]
-    absent = [path for path, frame in zip(paths, frames, strict=True) if frame is None]
-    if absent:
-        raise MissingTables(absent)
-    facts, customers, products = frames
+    facts, customers, products = read_all(paths, lambda path: read_table(spark, path))
     return facts, [
         ("customer_id", customers.withColumnRenamed("name", "customer_name")),
         ("product_id", products.withColumnRenamed("name", "product_name")),

@@ -24,6 +24,7 @@ from tallyline.plans.reports import head_reports, silver_sample
 from tallyline.plans.silver import silver
 from tallyline.session import build_session
 from tallyline.sinks.tables import Written, write_table
+from tallyline.sources.delimited import read_star_csv
 from tallyline.sources.tables import Star, read_star, read_table, require_unique_key
 
 SILVER_PARTITIONS = ("yyyymm", "region")
@@ -96,6 +97,7 @@ def _finish(
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--input", required=True, help="folder with txns and the dimensions")
+    parser.add_argument("--input_format", choices=("parquet", "csv"), default="parquet")
     parser.add_argument("--output", help="folder for the results")
     parser.add_argument("--format", default="parquet", help="parquet, or delta if installed")
     parser.add_argument("--top_n", type=int, default=TOP_CUSTOMERS)
@@ -103,10 +105,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--write", action="store_true", help="write; otherwise a dry run")
     args = parser.parse_args(argv)
     spark = build_session("tallyline-etl", shuffle_partitions=args.shuffle_partitions)
+    read = read_star if args.input_format == "parquet" else read_star_csv
     started = time.perf_counter()
     with run(
         spark,
-        read_star(spark, args.input),
+        read(spark, args.input),
         args.output,
         dry_run=not args.write,
         fmt=args.format,

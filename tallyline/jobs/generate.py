@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.generate import ids, keyed, star, states
 from tallyline.session import build_session
-from tallyline.sinks.tables import Written, write_by_month, write_table
-from tallyline.sources.tables import STAR_TABLES, Star
+from tallyline.sinks.tables import Written, write_by_month, write_csv, write_table
+from tallyline.sources.tables import Star, star_paths
 
 KEYED_FILES = 16
 
@@ -60,12 +60,19 @@ def write_star(tables: Star, base: str, *, dry_run: bool = True) -> list[Written
 
     A task has rows for the few months of the generated span, so nothing is shuffled.
     """
+    paths = star_paths(base)
     return [
-        write_by_month(
-            tables.txns, f"{base}/{STAR_TABLES['txns']}", grouped=False, dry_run=dry_run
-        ),
-        write_table(tables.customers, f"{base}/{STAR_TABLES['customers']}", dry_run=dry_run),
-        write_table(tables.products, f"{base}/{STAR_TABLES['products']}", dry_run=dry_run),
+        write_by_month(tables.txns, paths["txns"], grouped=False, dry_run=dry_run),
+        write_table(tables.customers, paths["customers"], dry_run=dry_run),
+        write_table(tables.products, paths["products"], dry_run=dry_run),
+    ]
+
+
+def write_star_csv(tables: Star, base: str, *, dry_run: bool = True) -> list[Written]:
+    """The star as raw CSV folders."""
+    return [
+        write_csv(getattr(tables, name), path, dry_run=dry_run)
+        for name, path in star_paths(base).items()
     ]
 
 
@@ -87,16 +94,20 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--base", required=True, help="folder that will hold the tables")
     parser.add_argument("--family", choices=("star", "keyed"), default="star")
+    parser.add_argument("--format", choices=("parquet", "csv"), default="parquet")
     parser.add_argument("--num_customers", type=int, default=50_000)
     parser.add_argument("--num_products", type=int, default=5_000)
     parser.add_argument("--num_txns", type=int, default=1_000_000)
     parser.add_argument("--partitions", type=int)
     parser.add_argument("--write", action="store_true", help="write; otherwise a dry run")
     args = parser.parse_args(argv)
+    if args.family == "keyed" and args.format == "csv":
+        parser.error("the keyed tables are written as parquet only")
     spark = build_session("tallyline-generate")
     sizes = (args.num_customers, args.num_products, args.num_txns, args.partitions)
     if args.family == "star":
-        done = write_star(star_frames(spark, *sizes), args.base, dry_run=not args.write)
+        write = write_star if args.format == "parquet" else write_star_csv
+        done = write(star_frames(spark, *sizes), args.base, dry_run=not args.write)
     else:
         done = write_keyed(keyed_frames(spark, *sizes), args.base, dry_run=not args.write)
     for table in done:

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.schemas import CUSTOMERS, PRODUCTS, TRANSACTIONS
+from tallyline.sources.tables import Star, read_all, star_paths
+
 CORRUPT = "_corrupt_record"
 
 #: Stands for an unquoted empty field while parsing, so that a quoted one stays empty text.
@@ -60,6 +63,19 @@ def read_typed_csv(
     return typed(read_text_csv(spark, path, schema.fieldNames(), multi_line), schema)
 
 
+STAR_SCHEMAS = {"txns": TRANSACTIONS, "customers": CUSTOMERS, "products": PRODUCTS}
+
+
+def read_star_csv(spark: SparkSession, base: str) -> Star:
+    """The star from CSV folders. Values that will not cast are NULL, for cleaning to judge."""
+    paths = star_paths(base)
+    schema_of = {paths[name]: schema for name, schema in STAR_SCHEMAS.items()}
+    frames = read_all(
+        paths.values(), lambda path: read_typed_csv(spark, path, schema_of[path]).drop("is_bad")
+    )
+    return Star(**dict(zip(paths, frames, strict=True)))
+
+
 def inferred_csv(spark: SparkSession, path: str) -> DataFrame:
     """Schema inference, for looking at an unknown file: it costs a second pass."""
     return spark.read.option("header", True).option("inferSchema", True).csv(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -47,25 +47,37 @@ def read_if_present(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None
 ) -> DataFrame | None:
     """The table, or None when nothing is at ``path`` on whichever filesystem it names."""
+    return if_present(lambda: read_table(spark, path, schema))
+
+
+def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None when its path is not there; other errors stay errors."""
     try:
-        return read_table(spark, path, schema)
+        return read()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def read_star(spark: SparkSession, base: str) -> Star:
-    """The star under ``base``; every missing table is named in one error."""
-    frames, absent = {}, []
-    for name, folder in STAR_TABLES.items():
-        path = f"{base.rstrip('/')}/{folder}"
-        frames[name] = read_if_present(spark, path)
-        if frames[name] is None:
-            absent.append(path)
+def read_all(paths: Iterable[str], read: Callable[[str], DataFrame]) -> list[DataFrame]:
+    """The table at every path; all missing ones are named in one error."""
+    found = {path: if_present(lambda path=path: read(path)) for path in paths}
+    absent = [path for path, frame in found.items() if frame is None]
     if absent:
         raise MissingTables(absent)
-    return Star(**frames)
+    return list(found.values())
+
+
+def star_paths(base: str) -> dict[str, str]:
+    return {name: f"{base.rstrip('/')}/{folder}" for name, folder in STAR_TABLES.items()}
+
+
+def read_star(spark: SparkSession, base: str) -> Star:
+    """The Parquet star under ``base``."""
+    paths = star_paths(base)
+    frames = read_all(paths.values(), lambda path: read_table(spark, path))
+    return Star(**dict(zip(paths, frames, strict=True)))
 
 
 def require_unique_key(dimension: DataFrame, key: str) -> None:

@@ -5,6 +5,7 @@ from frames import star, txn
 
 from tallyline.jobs import compare, etl, generate
 from tallyline.plans import views
+from tallyline.sources.delimited import read_star_csv
 from tallyline.sources.tables import MissingTables, RepeatedKeys, read_star
 
 SAMPLE = [txn(f"t{n % 90}", n % 3, n % 4, n % 5, ts=f"2025-0{n % 3 + 1}-10 08:00:00") for n in range(200)]
@@ -74,6 +75,22 @@ def test_generate_then_etl_from_the_command_line(spark, tmp_path, capsys, monkey
     assert "SortMergeJoin" in printed and "BroadcastHashJoin" in printed
 
 
+def test_csv_star_gives_the_same_tables(spark, tmp_path):
+    tables = generate.star_frames(spark, 50, 20, 500)
+    generate.write_star(tables, str(tmp_path / "parquet"), dry_run=False)
+    generate.write_star_csv(tables, str(tmp_path / "csv"), dry_run=False)
+    found = []
+    for given in (
+        read_star(spark, str(tmp_path / "parquet")),
+        read_star_csv(spark, str(tmp_path / "csv")),
+    ):
+        with etl.run(spark, given) as result:
+            found.append({name: rows(table) for name, table in result.gold.items()})
+    assert found[0] == found[1]
+    with pytest.raises(MissingTables):
+        read_star_csv(spark, str(tmp_path / "none"))
+
+
 def test_compare_gives_equal_rows_and_less_shuffle(spark, tmp_path):
     base = str(tmp_path / "keyed")
     generate.write_keyed(generate.keyed_frames(spark, 50, 20, 2000), base, dry_run=False)

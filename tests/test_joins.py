@@ -98,3 +98,23 @@ def test_copies_are_dropped_before_the_shuffle(spark):
     given = hot_star(spark)
     plan = plan_text(clean.sales(given))
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_a_hot_key_is_split_when_the_side_is_too_large(spark, set_conf):
+    """A third of the facts on one key: the shuffle join reads that partition in parts."""
+    set_conf(
+        spark__sql__autoBroadcastJoinThreshold=-1,
+        spark__sql__adaptive__autoBroadcastJoinThreshold=-1,
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
+    )
+    facts = spark.range(0, 300_000, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 5000).alias("k")
+    )
+    side = spark.range(5000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    for how, expected in (("left", 300_000), ("inner", 200_000)):
+        joined = joins.join_dimensions(facts, [("k", side)], how=how, limit=1).select("id", "v")
+        assert len(joined.collect()) == expected
+        if how == "left":
+            assert "skew=true" in plan_text(joined)

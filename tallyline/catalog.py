@@ -495,24 +495,28 @@ def report_category(spark, sf_dir):
     return doubles(reports.category_report(_sales(spark, sf_dir)), "revenue")
 
 
+def _head(name, table):
+    return reports.head(table, gold.READING_ORDER[name], HEAD)
+
+
 @query
 def report_head_monthly(spark, sf_dir):
-    return gold_monthly_region_cat(spark, sf_dir).limit(HEAD)
+    return _head("gold_monthly_region_cat", gold_monthly_region_cat(spark, sf_dir))
 
 
 @query
 def report_head_top_customers(spark, sf_dir):
-    return top_customers_region(spark, sf_dir).limit(HEAD)
+    return _head("gold_top_customers", top_customers_region(spark, sf_dir))
 
 
 @query
 def report_head_trend(spark, sf_dir):
-    return gold_rev_trend(spark, sf_dir).limit(HEAD)
+    return _head("gold_rev_trend", gold_rev_trend(spark, sf_dir))
 
 
 @query
 def report_head_top_products(spark, sf_dir):
-    return gold_top_products(spark, sf_dir).limit(HEAD)
+    return _head("gold_top_products", gold_top_products(spark, sf_dir))
 
 
 # SQL over the registered view

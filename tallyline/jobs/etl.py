@@ -66,13 +66,16 @@ def run(
     written = [
         write_table(clean, path, fmt=fmt, partition_by=SILVER_PARTITIONS, dry_run=False)
     ]
-    if fmt == "parquet":
-        stored = read_table(spark, path, clean.schema)
-    else:
-        stored = spark.read.format(fmt).load(path)
+    stored = _stored(spark, path, fmt, clean)
     yield _finish(stored, written, output, started, fmt=fmt, top_n=top_n, dry_run=False)
 
 
+def _stored(spark: SparkSession, path: str, fmt: str, table: DataFrame) -> DataFrame:
+    if fmt == "parquet":
+        return read_table(spark, path, table.schema)
+    return spark.read.format(fmt).load(path)
+
+
 def _finish(
     clean: DataFrame,
     written: list[Written],
@@ -83,13 +86,16 @@ def _finish(
     top_n: int,
     dry_run: bool,
 ) -> Result:
+    """Business tables over the kept or stored clean sales; written ones are read back."""
     result = Result(clean, gold_tables(clean, top_n), written)
     result.silver_rows = clean.count()
     result.silver_seconds = time.perf_counter() - started
-    if output:
-        for name, table in result.gold.items():
+    for name, table in result.gold.items():
+        if output:
             path = f"{output.rstrip('/')}/{name}"
             result.written.append(write_table(table, path, fmt=fmt, dry_run=dry_run))
+            if not dry_run:
+                result.gold[name] = _stored(clean.sparkSession, path, fmt, table)
     views.register({views.SILVER_VIEW: clean, **result.gold})
     return result
 

@@ -11,6 +11,14 @@ from tallyline.operators.trends import trailing_mean
 TOP_CUSTOMERS = 10
 TOP_PRODUCTS = 50
 
+#: Reading order of each table; a minus sign means descending.
+READING_ORDER = {
+    "gold_monthly_region_cat": ("yyyymm", "region", "category"),
+    "gold_top_customers": ("region", "rank", "customer_id"),
+    "gold_rev_trend": ("yyyymm",),
+    "gold_top_products": ("-revenue", "product_id"),
+}
+
 
 def monthly_region_category(silver: DataFrame) -> DataFrame:
     return (

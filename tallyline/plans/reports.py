@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.operators.cleaning import banded
 from tallyline.operators.ranking import top_per_group
 from tallyline.operators.trends import growth_percent, share_of_total, trailing_mean
-from tallyline.plans.gold import customer_spend, monthly_total
+from tallyline.plans.gold import READING_ORDER, customer_spend, monthly_total
 
 # The lower age of each band.
 AGE_BANDS = {"18-24": 18, "25-34": 25, "35-44": 35, "45-54": 45, "55-64": 55, "65+": 65}
@@ -99,6 +101,12 @@ def silver_sample(silver: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
-def head_reports(gold: dict[str, DataFrame], n: int = 8) -> dict[str, DataFrame]:
-    """The first rows of each business table, each in its own order."""
-    return {name: table.limit(n) for name, table in gold.items()}
+def head(table: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows by ``order``; a minus sign before a column means descending."""
+    keys = [F.desc(name[1:]) if name.startswith("-") else F.asc(name) for name in order]
+    return table.orderBy(*keys).limit(n)
+
+
+def head_reports(gold: Mapping[str, DataFrame], n: int = 8) -> dict[str, DataFrame]:
+    """The first rows of each business table in its reading order."""
+    return {name: head(table, READING_ORDER[name], n) for name, table in gold.items()}

@@ -16,30 +16,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.functions.geography import COUNTRIES
 from tallyline.functions.money import price
 from tallyline.sources.tables import Star, read_table
 
-
-#: The columns read from each table; given, so that no job is spent on finding them out.
-SCHEMAS = {
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
-    "l_tax double, l_returnflag string, l_linestatus string",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-    "o_orderdate timestamp_ntz, o_orderpriority string",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
-    "c_mktsegment string",
-    "supplier": "s_suppkey bigint, s_nationkey int, s_acctbal double",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
-    "p_retailprice double",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "region": "r_regionkey int, r_name string",
-}
+#: Schemas found so far, by application and path: finding one out costs a job.
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", SCHEMAS[name])
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = read_table(spark, path).schema
+    return read_table(spark, path, _SCHEMAS[key])
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

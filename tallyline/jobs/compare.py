@@ -51,17 +51,34 @@ def join_types(df: DataFrame) -> list[str]:
     return sorted(set(JOIN_NODE.findall(text)))
 
 
-def shuffle_bytes(spark: SparkSession) -> tuple[int, int]:
-    """Shuffle bytes read and written by the stages the session still remembers."""
-    store = spark.sparkContext._jsc.sc().statusStore()
-    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(
-        spark.sparkContext._jvm.double, 0), None)
-    read = write = 0
-    for position in range(stages.size()):
-        stage = stages.apply(position)
-        read += stage.shuffleReadBytes()
-        write += stage.shuffleWriteBytes()
-    return read, write
+def _stages(spark: SparkSession) -> list:
+    """Stages the session remembers; the web interface need not run for that."""
+    context = spark.sparkContext
+    no_quantiles = context._gateway.new_array(context._jvm.double, 0)
+    found = context._jsc.sc().statusStore().stageList(None, False, False, no_quantiles, None)
+    return [found.apply(position) for position in range(found.size())]
+
+
+def last_stage(spark: SparkSession) -> int:
+    return max((stage.stageId() for stage in _stages(spark)), default=-1)
+
+
+def shuffle_bytes(spark: SparkSession, after: int, patience: float = 5.0) -> tuple[int, int]:
+    """Shuffle bytes read and written by the stages later than ``after``.
+
+    Stage reports arrive a little after the results, so running ones are waited for.
+    """
+    deadline = time.monotonic() + patience
+    while True:
+        stages = [stage for stage in _stages(spark) if stage.stageId() > after]
+        running = any(stage.status().toString() == "ACTIVE" for stage in stages)
+        if not running or time.monotonic() > deadline:
+            break
+        time.sleep(0.05)
+    return (
+        sum(stage.shuffleReadBytes() for stage in stages),
+        sum(stage.shuffleWriteBytes() for stage in stages),
+    )
 
 
 OUTPUT_COLUMNS = ("region", "category", "quantity")
@@ -89,20 +106,20 @@ def run_mode(
     dimensions: Sequence[tuple[str, DataFrame]],
 ) -> tuple[Measured, list]:
     """One timed run and the fingerprints of its output tables."""
-    read_before, write_before = shuffle_bytes(spark)
+    before = last_stage(spark)
     started = time.perf_counter()
     with joined(mode, facts, dimensions, OUTPUT_COLUMNS) as frame:
         prints = [fingerprint(table) for table in outputs(frame)]
         found = [frame.collect()[0] for frame in prints]
         seconds = time.perf_counter() - started
         joins = join_types(prints[0])
-    read_after, write_after = shuffle_bytes(spark)
+    read, written = shuffle_bytes(spark, before)
     measured = Measured(
         mode,
         round(seconds, 3),
         "+".join(joins),
-        read_after - read_before,
-        write_after - write_before,
+        read,
+        written,
         sum(row.row_count for row in found),
     )
     return measured, found

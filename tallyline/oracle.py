@@ -416,7 +416,8 @@ ORACLE: dict[str, str] = {
     "report_head_top_customers": top_customers("dense_rank", 10)
     + " ORDER BY region NULLS FIRST, rank, customer_id LIMIT 8",
     "report_head_trend": f"{TREND} ORDER BY yyyymm LIMIT 8",
-    "report_head_top_products": f"SELECT * FROM ({TOP_PRODUCTS}) ORDER BY revenue DESC, product_id LIMIT 8",
+    "report_head_top_products": f"""SELECT * FROM ({TOP_PRODUCTS})
+        ORDER BY revenue DESC, product_id LIMIT 8""",
     "sql_view_monthly": MONTHLY_REGION_CATEGORY,
     "sql_view_top_customers": top_customers("dense_rank", 10),
     "sql_view_trend": TREND,

@@ -36,7 +36,9 @@ class Star:
 STAR_TABLES = {"txns": "txns", "customers": "dim_customers", "products": "dim_products"}
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
@@ -44,7 +46,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
 
 
 def read_if_present(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame | None:
     """The table, or None when nothing is at ``path`` on whichever filesystem it names."""
     return if_present(lambda: read_table(spark, path, schema))

@@ -96,6 +96,14 @@ def test_year_month_folders(spark, tmp_path):
     }
 
 
+def test_ungrouped_partitioned_write(spark, tmp_path):
+    frame = spark.range(0, 100, 1, 4).withColumn("k", F.col("id") % 3)
+    path = str(tmp_path / "t")
+    write_table(frame, path, partition_by=("k",), grouped=False, dry_run=False)
+    assert rows(spark.read.parquet(path).select("id", F.col("k").cast("bigint"))) == rows(frame)
+    assert len(list(Path(path, "k=0").glob("part-*"))) == 4
+
+
 def test_file_count(spark, tmp_path):
     write_table(spark.range(1000), str(tmp_path / "t"), files=5, dry_run=False)
     assert len(list((tmp_path / "t").glob("part-*"))) == 5
@@ -133,9 +141,8 @@ def test_malformed_csv_does_not_fail(spark, tmp_path):
             T.StructField("price", T.DecimalType(12, 2)),
         ]
     )
-    found = {
-        r.txn_id: r for r in delimited.read_typed_csv(spark, str(tmp_path / "f.csv"), schema).collect()
-    }
+    read = delimited.read_typed_csv(spark, str(tmp_path / "f.csv"), schema)
+    found = {r.txn_id: r for r in read.collect()}
     assert [found[k].is_bad for k in "abcde"] == [False, True, True, True, False]
     assert found["b"].quantity is None and found["c"].txn_ts is None
     assert found["a"].txn_ts == datetime(2025, 1, 1, 10)

@@ -8,7 +8,10 @@ from tallyline.plans import views
 from tallyline.sources.delimited import read_star_csv
 from tallyline.sources.tables import MissingTables, RepeatedKeys, read_star
 
-SAMPLE = [txn(f"t{n % 90}", n % 3, n % 4, n % 5, ts=f"2025-0{n % 3 + 1}-10 08:00:00") for n in range(200)]
+SAMPLE = [
+    txn(f"t{n % 90}", n % 3, n % 4, n % 5, ts=f"2025-0{n % 3 + 1}-10 08:00:00")
+    for n in range(200)
+]
 
 
 def rows(frame):
@@ -102,6 +105,15 @@ def test_compare_gives_equal_rows_and_less_shuffle(spark, tmp_path):
         compare.keyed_inputs(spark, str(tmp_path / "none"))
 
 
+def test_shuffle_bytes_survive_forgotten_stages(spark):
+    """Only later stages count: what the session has forgotten meanwhile does not matter."""
+    before = compare.last_stage(spark)
+    spark.range(1000).repartition(3).selectExpr("sum(id)").collect()
+    read, written = compare.shuffle_bytes(spark, before)
+    assert read > 0 and written > 0
+    assert compare.shuffle_bytes(spark, compare.last_stage(spark)) == (0, 0)
+
+
 def test_modes_that_differ_are_refused(spark, monkeypatch):
     answers = iter([(None, [1]), (None, [2])])
     monkeypatch.setattr(compare, "run_mode", lambda *a: next(answers))

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from tallyline.operators import cleaning
 from tallyline.plans import gold, reports
-from tallyline.plans.silver import SILVER_COLUMNS, enriched, sales, sales_by_customer, silver, with_derived
+from tallyline.plans.silver import (
+    SILVER_COLUMNS,
+    enriched,
+    sales,
+    sales_by_customer,
+    silver,
+    with_derived,
+)
 
 
 def ids(df):
@@ -57,7 +64,9 @@ def test_survivor_does_not_depend_on_input_order(spark):
             shuffled = type(given)(
                 given.txns.repartition(parts), given.customers, given.products
             )
-            kept.add(tuple(silver(shuffled).select("customer_id", "product_id", "quantity").first()))
+            kept.add(
+                tuple(silver(shuffled).select("customer_id", "product_id", "quantity").first())
+            )
     assert kept == {(None, 1, 1)}
 
 

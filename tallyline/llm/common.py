@@ -74,3 +74,24 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(str(archive))
         _shipped[context.applicationId] = folder
     return spark
+
+
+class Recent(dict):
+    """A dictionary of bounded size that keeps what was asked for lately: when it is full it
+    becomes the old generation, from which entries are taken over as they are met again."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.old = size, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chat, topk, urls
-from tallyline.llm.common import pick, table
+from tallyline.llm import chat, langid, nbsvm, packing, pieces, quality, topk, toxicity, urls
+from tallyline.llm.common import pick, remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,18 +38,72 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(turns.unionByName(added))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    trees = quality.train(documents, table(spark, sf_dir, "labels"))
+    return quality.judge(documents, trees)
+
+
+def _held_out(modulus: int, held: int) -> Column:
+    return (remainder("doc_id", modulus) == held).alias("held_out")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.train(
+        documents, table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0
+    )
+    scored = toxicity.score_toxicity(documents, model)
+    return scored.select("doc_id", _held_out(5, 0), "score", "predicted")
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model_path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), model_path)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer_path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path)
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = langid.train(documents, remainder("doc_id", 5) != 0)
+    judged = langid.identify(documents, model)
+    return judged.select("doc_id", _held_out(5, 0), "lang_pred", "score", "rejected")
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = nbsvm.train(
+        documents, table(spark, sf_dir, "labels"), remainder("doc_id", 3) != 1
+    )
+    scored = nbsvm.score_quality(documents, model)
+    return scored.select("doc_id", _held_out(3, 1), "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
-    "op1_chat_formatting": op1_chat_formatting,
-    "op7_url_filters": op7_url_filters,
-    "op9_exact_top_k": op9_exact_top_k,
+    query.__name__: query
+    for query in (
+        op1_chat_formatting,
+        op2_quality_rules,
+        op3_toxicity,
+        op4_sentencepiece,
+        op6_best_fit_packing,
+        op7_url_filters,
+        op8_language_id,
+        op9_exact_top_k,
+        op10_quality_classifier,
+    )
 }
 
 _WORDS = "|".join(urls.HOST_WORDS)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chat, langid, nbsvm, packing, pieces, quality, topk, toxicity, urls
+from tallyline.llm import chat, langid, minhash, nbsvm, packing, pieces, quality, topk, toxicity, urls
 from tallyline.llm.common import pick, remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,12 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"), model_path)
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With 4-word shingles, as the contract of this query says."""
+    judged = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+    return judged.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer_path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path)
@@ -98,6 +104,7 @@ QUERIES: dict[str, Query] = {
         op2_quality_rules,
         op3_toxicity,
         op4_sentencepiece,
+        op5_minhash_dedup,
         op6_best_fit_packing,
         op7_url_filters,
         op8_language_id,

@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding.
 
-The pieces of a model file form an Aho-Corasick automaton. One pass over a text drives it;
-at each position the output links name every piece that ends there, longest first, and each
+The pieces of a model file form an Aho-Corasick automaton. A text drives it in one pass; at
+each position its output links name every piece that ends there, longest first, and each
 relaxes the best score of its end. The best path by summed scores is followed back. A
 character that no piece covers costs a fixed penalty and becomes its UTF-8 bytes' pieces.
 Of equal scores the path with the longer last piece wins.
@@ -20,7 +20,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from heapq import merge
+from operator import itemgetter
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,71 +36,50 @@ from tallyline.llm.common import Recent, pick, ship
 MARK = "▁"
 #: What an uncovered character costs beyond the lowest score of a piece.
 UNKNOWN_PENALTY = 10.0
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 100_000
 KNOWN_LENGTH = 64
 
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
-class Automaton:
-    """Aho-Corasick over pieces: transitions, failure links and output links."""
+class Lattice:
+    """An Aho-Corasick automaton over pieces and the best path through what it finds."""
 
-    def __init__(self, pieces: dict[str, tuple[int, float]]):
-        self.next: list[dict[str, int]] = [{}]
-        self.ends: list[tuple[int, int, float] | None] = [None]  # (length, id, score)
+    def __init__(self, pieces: dict[str, tuple[int, float]], unknown: float):
+        self.automaton = ahocorasick.Automaton()
         for piece, (id_, score) in pieces.items():
-            state = 0
-            for char in piece:
-                into = self.next[state].get(char)
-                if into is None:
-                    into = self.next[state][char] = len(self.next)
-                    self.next.append({})
-                    self.ends.append(None)
-                state = into
-            self.ends[state] = (len(piece), id_, score)
-        self.fail = [0] * len(self.next)
-        #: The nearest state on the failure path, the state itself first, that ends a piece.
-        self.output = [0] * len(self.next)
-        queue = [0]
-        for state in queue:
-            for char, into in self.next[state].items():
-                if state:
-                    back = self.fail[state]
-                    while back and char not in self.next[back]:
-                        back = self.fail[back]
-                    self.fail[into] = self.next[back].get(char, 0)
-                self.output[into] = into if self.ends[into] else self.output[self.fail[into]]
-                queue.append(into)
-
-    def best_path(self, text: str, unknown: float) -> tuple[list[tuple[int, int, int]], float]:
-        """(start, stop, id) along the best path, id -1 for an uncovered character; its score."""
-        next_, fail, ends, output = self.next, self.fail, self.ends, self.output
-        low = float("-inf")
-        best = [0.0] + [low] * len(text)
-        back: list[tuple[int, int]] = [(0, -1)] * (len(text) + 1)
-        state = 0
-        for stop, char in enumerate(text, 1):
-            while state and char not in next_[state]:
-                state = fail[state]
-            state = next_[state].get(char, 0)
-            top, came, single = low, (0, -1), False
-            link = output[state]
-            while link:
-                length, id_, score = ends[link]
-                score += best[stop - length]
-                if score > top:
-                    top, came = score, (stop - length, id_)
-                single = length == 1
-                link = output[fail[link]]
-            if not single and best[stop - 1] + unknown > top:
-                top, came = best[stop - 1] + unknown, (stop - 1, -1)
-            best[stop], back[stop] = top, came
+            self.automaton.add_word(piece, (len(piece), id_, score))
+        self.automaton.make_automaton()
+        self.covered = {piece for piece in pieces if len(piece) == 1}
+        self.unknown = unknown
+
+    def _ends(self, text: str) -> Iterator[tuple[int, tuple[int, int, float]]]:
+        """The automaton's finds, position by position and longest first, and after those of
+        an uncovered character the character itself at the penalty."""
+        uncovered = [k for k, char in enumerate(text) if char not in self.covered]
+        finds = self.automaton.iter(text)
+        if not uncovered:
+            return finds
+        alone = ((k, (1, -1, self.unknown)) for k in uncovered)
+        return merge(finds, alone, key=itemgetter(0))
+
+    def best_path(self, text: str) -> tuple[list[tuple[int, int]], float]:
+        """(length, id) along the best path, id -1 for an uncovered character; its score."""
+        best = [0.0] + [float("-inf")] * len(text)
+        came = [None] * (len(text) + 1)
+        for last, find in self._ends(text):
+            length, _, score = find
+            stop = last + 1
+            score += best[stop - length]
+            if score > best[stop]:
+                best[stop], came[stop] = score, find
         path, stop = [], len(text)
         while stop:
-            start, id_ = back[stop]
-            path.append((start, stop, id_))
-            stop = start
-        return path[::-1], best[-1]
+            length, id_, _ = came[stop]
+            path.append((length, id_))
+            stop -= length
+        path.reverse()
+        return path, best[-1]
 
 
 class Codec:
@@ -122,19 +104,20 @@ class Codec:
         if len(self.byte_ids) != 256:
             raise ValueError("only models with a piece for every byte are supported")
         self.by_word = not any(MARK in piece.lstrip(MARK) for piece in pieces)
-        self.unknown = min(score for _, score in pieces.values()) - UNKNOWN_PENALTY
-        self.automaton = Automaton(pieces)
+        lowest = min(score for _, score in pieces.values())
+        self.lattice = Lattice(pieces, lowest - UNKNOWN_PENALTY)
         self.known = Recent(KNOWN_WORDS)  # word: (ids, score)
 
     def _encode(self, text: str) -> tuple[bytes, float]:
-        path, score = self.automaton.best_path(text, self.unknown)
-        ids = []
-        for start, stop, id_ in path:
+        path, score = self.lattice.best_path(text)
+        ids, start = [], 0
+        for length, id_ in path:
             if id_ >= 0:
                 ids.append(id_)
             else:
-                raw = text[start:stop].encode("utf-8", "surrogatepass")
+                raw = text[start].encode("utf-8", "surrogatepass")
                 ids.extend(self.byte_ids[byte] for byte in raw)
+            start += length
         return np.array(ids, np.int32).tobytes(), score
 
     def encode(self, text: str | None) -> tuple[np.ndarray, float]:
@@ -163,14 +146,10 @@ def codec(model_path: str) -> Codec:
     return Codec(SentencePieceProcessor(model_file=model_path))
 
 
-ENCODED = T.StructType(
-    [
-        T.StructField("ids", T.ArrayType(T.IntegerType())),
-        T.StructField("n_ids", T.LongType()),
-        T.StructField("score", T.DoubleType()),
-        T.StructField("round_trip", T.BooleanType()),
-    ]
-)
+ENCODED = "doc_id long, ids array<int>, n_ids long, score double, round_trip boolean"
+
+#: Documents whose ids a worker holds at once.
+ROWS = 500
 
 
 def encode_documents(documents: DataFrame, model_path: str) -> DataFrame:
@@ -178,27 +157,29 @@ def encode_documents(documents: DataFrame, model_path: str) -> DataFrame:
     the ids decode to the text. Every worker machine reads the model at ``model_path``."""
     ship(documents.sparkSession)
 
-    @F.pandas_udf(ENCODED)
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec_ = codec(model_path)
-        for texts in batches:
-            found = [codec_.encode(text) for text in texts]
-            yield pd.DataFrame(
-                {
-                    "ids": [ids for ids, _ in found],
-                    "n_ids": [len(ids) for ids, _ in found],
-                    "score": [score for _, score in found],
-                    "round_trip": [
-                        codec_.decode(ids) == (text or "")
-                        for (ids, _), text in zip(found, texts, strict=True)
-                    ],
-                }
-            )
+        for batch in batches:
+            for start in range(0, len(batch), ROWS):
+                rows = batch.iloc[start : start + ROWS]
+                found = [codec_.encode(text) for text in rows["text"]]
+                yield pd.DataFrame(
+                    {
+                        "doc_id": rows["doc_id"].astype("Int64"),
+                        "ids": [ids for ids, _ in found],
+                        "n_ids": [len(ids) for ids, _ in found],
+                        "score": [score for _, score in found],
+                        "round_trip": [
+                            codec_.decode(ids) == (text or "")
+                            for (ids, _), text in zip(found, rows["text"], strict=True)
+                        ],
+                    }
+                )
 
     return (
         pick(documents, "doc_id", "text")
-        .select("doc_id", encoded("text").alias("encoded"))
-        .select("doc_id", "encoded.*")
+        .select(F.col("doc_id").cast("long"), "text")
+        .mapInPandas(encoded, ENCODED)
     )
 
 

@@ -62,8 +62,20 @@ def remainder(column: str, modulus: int) -> Column:
     return F.crc32(text.cast("binary")) % modulus
 
 
+#: Bytes and rows that a Python worker gets at once: texts may be long.
+BATCH = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": 8 * 1024 * 1024,
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 2_000,
+}
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Send the package to the Python workers, once for each application."""
+    """Send the package to the Python workers, once for each application, and see that the
+    session hands them batches of bounded size (a smaller setting is left as it is)."""
+    for name, most in BATCH.items():
+        now = int(spark.conf.get(name).rstrip("b"))
+        if not 0 < now <= most:
+            spark.conf.set(name, str(most))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         folder = tempfile.TemporaryDirectory(prefix="run-tallyline-")

@@ -56,7 +56,8 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def _piece_buckets(points: np.ndarray) -> np.ndarray:
+def _piece_buckets(points: np.ndarray, begin: int) -> np.ndarray:
+    """Hashes of the grams that begin among the first ``begin`` points."""
     c = np.where(_letters()[points], points, 0).astype(np.uint64)
     found = []
     mixed = c * np.uint64(0x9E3779B97F4A7C15)
@@ -74,16 +75,17 @@ def _piece_buckets(points: np.ndarray) -> np.ndarray:
         else:
             valid = letter[1:-1]
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB) + np.uint64(n)
-        found.append((h[valid] >> np.uint64(64 - BITS)).astype(np.int32))
-    return np.concatenate(found)
+        found.append((h[:begin][valid[:begin]] >> np.uint64(64 - BITS)).astype(np.int32))
+    return np.concatenate(found) if found else np.empty(0, np.int32)
 
 
 def buckets(text: str) -> Iterator[np.ndarray]:
-    """Hashes of the text's grams, with repeats. Pieces overlap so that no gram is lost."""
+    """Hashes of the text's grams, with repeats. A piece reaches into the next by a gram."""
     padded = f" {text.lower()} "
     for start in range(0, len(padded), PIECE):
-        piece = padded[start : start + PIECE]
-        yield _piece_buckets(np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), "<u4"))
+        piece = padded[start : start + PIECE + 2]
+        points = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), "<u4")
+        yield _piece_buckets(points, PIECE)
 
 
 def bag(text: str) -> np.ndarray:

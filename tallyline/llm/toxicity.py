@@ -48,6 +48,9 @@ INDUCED_GROUPS = 8
 INDUCED_WORDS = 400
 #: Words that the classifier weighs beside the votes.
 CLASSIFIER_WORDS = 2_000
+#: Rounds of expectation maximisation with known labels, and what a row without one counts.
+LABELLED_ROUNDS = 10
+UNLABELLED_WEIGHT = 0.1
 #: Share of labels taken to be wrong.
 LABEL_NOISE = 0.01
 
@@ -143,11 +146,18 @@ class LabelModel:
 
 
 def fit_label_model(
-    votes: np.ndarray, label: np.ndarray, weight: np.ndarray, rounds: int = 25
+    votes: np.ndarray, label: np.ndarray, weight: np.ndarray
 ) -> tuple[LabelModel, np.ndarray]:
-    """The model and the posterior of each row. ``label`` is -1 where it is unknown."""
+    """The model and the posterior of each row. ``label`` is -1 where it is unknown.
+
+    Rows without a label count for less than those with one, and where no label is known one
+    round must do: voters who repeat each other would otherwise pull the classes to where
+    they agree, round by round.
+    """
     votes = votes.astype(float)
     known = label >= 0
+    rounds = LABELLED_ROUNDS if known.any() else 1
+    weight = np.where(known, weight, UNLABELLED_WEIGHT * weight) if known.any() else weight
     posterior = sigmoid(2.0 * votes.sum(axis=1))  # the start: an unweighed vote
     held = np.where(label == 1, 1 - LABEL_NOISE, LABEL_NOISE)
     model = None

@@ -9,12 +9,19 @@ How it stays linear in a group of copies:
 
 1. Texts with equal sets form one class, found by the set's 128-bit fingerprint; only
    classes go on.
-2. In each band bucket every class is compared with one of its members, the hub. Confirmed
-   links are joined into components.
+2. In each band bucket every class is compared with one of its members, the hub: the one
+   that meets most others over all buckets. Confirmed links are joined into components.
 3. A bucket whose classes are still in several components holds pairs that no link explains
-   yet. There, and only there, the classes outside the bucket's largest component are
-   compared with all classes of other components. Nothing is capped: after this step every
-   two classes that share a bucket are in one component or have been compared.
+   yet. The classes of such buckets with one hub are a family; what most of them share is its
+   consensus, and each is described by its delta, the elements in which it differs from the
+   consensus. How many elements two deltas must share for their classes to be similar follows
+   from the sizes alone. Two classes for which that is none are similar for certain; those are
+   linked to the class nearest to the consensus. Any other similar pair shares an element of
+   both deltas early enough in an order from rare to common, and only pairs that do are
+   compared. In a family of near copies the deltas are small and mostly their own, so few are.
+
+Nothing is capped: after this every two classes that share a bucket are in one component, or
+have been compared, or cannot be similar.
 
 At a similarity of exactly 0.8, 32 bands of 4 values miss a pair with a chance of 5e-8.
 
@@ -43,8 +50,6 @@ MIN_PERCENT = 80
 BANDS = 32
 #: Permutations of a band; each gives two of its values.
 BAND_PERMUTATIONS = 2
-#: Different choices of a hub: more of them try more pairs before the pairs across components.
-HUB_HASHES = 4
 #: Shingles hashed at once, so that a very long text needs no more memory than others.
 PIECE = 4096
 
@@ -140,24 +145,18 @@ def _classes(sketched: DataFrame) -> DataFrame:
         .agg(
             F.min("doc_id").alias("first_doc"),
             F.min(F.struct("doc_id", "text_key")).alias("stand_in"),
-            F.first("n_shingles").alias("n_shingles"),
             F.first("bands").alias("bands"),
         )
         .withColumn("node", F.monotonically_increasing_id())
     )
 
 
-def _linked(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, words: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets are similar enough.
-
-    Only the texts of nodes that occur in a pair are read into sets again.
-    """
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = (
-        pick(documents, "doc_id", "text")
-        .select(F.col("doc_id").cast("long").alias("doc"), "text", text_key().alias("key"))
+def _sets(nodes: DataFrame, wanted: DataFrame, documents: DataFrame, words: int) -> DataFrame:
+    """The full sets (sorted arrays) of the wanted nodes: only their texts are read again."""
+    texts = pick(documents, "doc_id", "text").select(
+        F.col("doc_id").cast("long").alias("doc"), "text", text_key().alias("key")
     )
-    wanted = nodes.select("node", "stand_in").join(needed, "node")
+    wanted = nodes.select("node", "stand_in").join(wanted, "node")
     found = texts.join(
         wanted,
         F.col("doc").eqNullSafe(F.col("stand_in.doc_id")) & (F.col("key") == F.col("stand_in.text_key")),
@@ -165,25 +164,32 @@ def _linked(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, words: int
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hashes = [shingle_set(text, words).tobytes() for text in batch["text"]]
-            yield pd.DataFrame({"node": batch["node"], "hashes": hashes})
+            sets = [np.sort(shingle_set(text, words).view(np.int64)) for text in batch["text"]]
+            yield pd.DataFrame({"node": batch["node"], "hashes": sets})
 
-    sets = (
+    return (
         found.select("node", "text")
-        .mapInPandas(sets_of, "node long, hashes binary")
+        .mapInPandas(sets_of, "node long, hashes array<long>")
         .groupBy("node")  # repeated rows of one document give the same set again
         .agg(F.first("hashes").alias("hashes"))
     )
-    sets = kept(sets, "sets")
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which elements of the sorted ``a`` are in the sorted ``b``."""
+    if not len(b):
+        return np.zeros(len(a), bool)
+    return b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
+
+
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose full sets are similar enough."""
 
     @F.pandas_udf(T.BooleanType())
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
-        for one, other in zip(left, right, strict=True):
-            a, b = np.frombuffer(one, _U), np.frombuffer(other, _U)
-            a, b = (a, b) if len(a) <= len(b) else (b, a)
-            at = np.searchsorted(b, a)
-            both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
+        for a, b in zip(left, right, strict=True):
+            both = int(_shared(a, b).sum())
             out.append(100 * both >= MIN_PERCENT * (len(a) + len(b) - both))
         return pd.Series(out, dtype=bool)
 
@@ -226,59 +232,136 @@ def _downward(edges: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _close(one: str, other: str) -> Column:
-    """Sets that can be similar at all: the smaller has enough of the larger's size."""
-    small, large = F.least(one, other), F.greatest(one, other)
-    return 100 * small >= MIN_PERCENT * large
-
-
-def _pairs_with_hubs(buckets: DataFrame) -> DataFrame:
-    """Each node of a bucket with the bucket's hub: the node with the smallest hash, under
-    one of a few hashes, so that a node seldom meets the same hub in all its buckets."""
-    by_hash = F.struct(F.xxhash64("node", F.pmod("key", F.lit(HUB_HASHES))), "node", "n_shingles")
+def _meetings(nodes: DataFrame) -> DataFrame:
+    """``node`` and ``key`` of all buckets with more than one node, and each bucket's ``hub``."""
+    buckets = nodes.select("node", F.explode("bands").alias("key"))
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("nodes")).where("nodes > 1")
+    met = kept(buckets.join(sizes, "key"), "buckets")
+    score = met.groupBy("node").agg(F.sum("nodes").alias("score"))
     hubs = (
-        buckets.groupBy("key")
-        .agg(F.min(by_hash).alias("hub"), F.count("*").alias("nodes"))
-        .where("nodes > 1")
-        .select("key", F.col("hub.node").alias("hub"), F.col("hub.n_shingles").alias("hub_size"))
+        met.join(score, "node")
+        .groupBy("key")
+        .agg(F.max(F.struct("score", "node")).getField("node").alias("hub"))
     )
-    return _pair(
-        buckets.join(hubs, "key").where(F.col("node") != F.col("hub")).where(_close("n_shingles", "hub_size")),
-        "node", "hub",
-    )
+    return met.join(hubs, "key")
 
 
-def _pairs_across(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of nodes that share a bucket but no component: of each bucket the nodes outside
-    its largest component with all nodes of other components."""
-    rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    by_root = rooted.groupBy("key", "root").agg(F.count("*").alias("nodes"))
+def _pair(rows: DataFrame, one: str, other: str) -> DataFrame:
+    return rows.select(
+        F.least(one, other).alias("a"), F.greatest(one, other).alias("b")
+    ).distinct()
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _families(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """(``hub``, ``node``) of the buckets that hold pairs no component explains. In a bucket
+    of two the pair has been compared."""
     open_keys = (
-        by_root.groupBy("key")
-        .agg(
-            F.count("*").alias("roots"), F.sum("nodes").alias("nodes"),
-            F.max(F.struct("nodes", "root")).getField("root").alias("major"),
-        )
-        .where("roots > 1 and nodes > 2")  # the two of a pair have been compared
-        .select("key", "major")
+        _rooted(met, roots)
+        .groupBy("key")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.first("nodes").alias("nodes"))
+        .where("low < high and nodes > 2")
+        .select("key")
+    )
+    return met.join(open_keys, "key").select("hub", "node").distinct()
+
+
+DELTA = "hub long, node long, closeness long, delta array<long>"
+
+
+def _deltas(families: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each member's delta from its family's consensus, and its closeness to it.
+
+    With c the consensus, x and z two sets and s the number of elements their deltas share,
+    |x & z| = |x & c| + |z & c| - |c| + s. So 100 |x & z| >= 80 |x or z|, which is
+    18 |x & z| >= 8 (|x| + |z|), reads 18 s >= -(closeness of x + closeness of z) with
+    closeness = 18 |x & c| - 8 |x| - 9 |c|.
+    """
+    members = families.join(sets, "node")
+    size = families.groupBy("hub").agg(F.count("*").alias("size"))
+    consensus = (  # at most twice as long as the family's mean set
+        members.select("hub", F.explode("hashes").alias("element"))
+        .groupBy("hub", "element").agg(F.count("*").alias("times"))
+        .join(size, "hub").where("2 * times > size")
+        .groupBy("hub").agg(F.array_sort(F.collect_list("element")).alias("consensus"))
     )
-    unsettled = kept(rooted.join(open_keys, "key"), "unsettled")
-    outside = unsettled.where("root <> major").select(
-        "key", F.col("node").alias("one"), F.col("root").alias("one_root"),
-        F.col("n_shingles").alias("one_size"),
+
+    def deltas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            closeness, apart = [], []
+            for own, common in zip(batch["hashes"], batch["consensus"], strict=True):
+                common = np.empty(0, np.int64) if common is None else common
+                shared = _shared(own, common)
+                closeness.append(18 * int(shared.sum()) - 8 * len(own) - 9 * len(common))
+                apart.append(np.concatenate([own[~shared], common[~_shared(common, own)]]))
+            yield pd.DataFrame(
+                {"hub": batch["hub"], "node": batch["node"], "closeness": closeness, "delta": apart}
+            )
+
+    return members.join(consensus, "hub", "left").select("hub", "node", "hashes", "consensus").mapInPandas(deltas, DELTA)
+
+
+def _nearest(deltas: DataFrame) -> DataFrame:
+    """Of each family the member closest to the consensus."""
+    top = deltas.groupBy("hub").agg(F.max(F.struct("closeness", "node")).alias("top"))
+    return top.select("hub", F.col("top.node").alias("top"), F.col("top.closeness").alias("top_closeness"))
+
+
+def _candidates(deltas: DataFrame, tops: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of different components whose deltas may share enough elements.
+
+    Elements are taken from rare to common. Two deltas that share enough share one with as
+    many elements from it on, in both, as they must share.
+    """
+    elements = _rooted(deltas, roots).select(
+        "hub", "node", "root", "closeness", F.size("delta").alias("size"), F.explode("delta").alias("element")
+    )
+    times = elements.groupBy("hub", "element").agg(F.count("*").alias("times"))
+    by_rarity = Window.partitionBy("hub", "node").orderBy("times", "element")
+    placed = (
+        elements.join(times, ["hub", "element"])
+        .withColumn("rest", F.col("size") - F.row_number().over(by_rarity) + 1)
+        .where("times > 1")
+        .join(tops, "hub")
+        # A member close to the top needs no partner but the top unless that is far off.
+        .withColumn("far", F.col("closeness") + F.col("top_closeness") < 0)
+        .where("18 * rest >= if(far, -closeness - top_closeness, top_closeness + 1 - closeness)")
+        .select("hub", "element", "node", "root", "closeness", "rest", "far")
+    )
+    placed = kept(placed, "placed")
+    far = placed.where("far").select(
+        "hub", "element", F.col("node").alias("one"), F.col("root").alias("one_root"),
+        F.col("closeness").alias("one_closeness"), F.col("rest").alias("one_rest"),
     )
     return _pair(
-        outside.join(unsettled, "key")
-        .where("one_root <> root and (root = major or one < node)")
-        .where(_close("one_size", "n_shingles")),
+        far.join(placed, ["hub", "element"])
+        .where("one_root <> root and (not far or one < node)")
+        .where("18 * least(rest, one_rest) >= -(closeness + one_closeness)"),
         "one", "node",
     )
 
 
-def _pair(rows: DataFrame, one: str, other: str) -> DataFrame:
-    return rows.select(
-        F.least(one, other).alias("a"), F.greatest(one, other).alias("b")
-    ).distinct()
+def _components_of_sets(nodes: DataFrame, documents: DataFrame, words: int) -> DataFrame:
+    """``node`` and ``root`` of all nodes that are linked with another."""
+    met = kept(_meetings(nodes), "meetings")
+    sets = kept(_sets(nodes, met.select("node").distinct(), documents, words), "sets")
+    tried = kept(_pair(met.where("node <> hub"), "node", "hub"), "pairs")
+    links = kept(_linked(tried, sets), "links")
+    roots = kept(components(links), "roots")
+
+    deltas = kept(_deltas(_families(met, roots), sets), "deltas")
+    tops = kept(_nearest(deltas), "tops")
+    certain = _pair(
+        deltas.join(tops, "hub").where("node <> top and closeness + top_closeness >= 0"), "node", "top"
+    )
+    links = kept(links.unionByName(certain).distinct(), "links")
+    roots = kept(components(links), "roots")
+    rest = kept(_candidates(deltas, tops, roots).join(tried, ["a", "b"], "left_anti"), "pairs")
+    more = kept(_linked(rest, sets), "links")
+    return roots if more.isEmpty() else components(links.unionByName(more))
 
 
 def near_duplicates(
@@ -288,17 +371,7 @@ def near_duplicates(
     document: the smallest id of its component, and whether that is its own."""
     sketched = kept(sketches(documents, words, bands), "sketches")
     nodes = kept(_classes(sketched), "classes")
-    buckets = nodes.select("node", "n_shingles", F.explode("bands").alias("key"))
-
-    tried = kept(_pairs_with_hubs(buckets), "pairs")
-    links = kept(_linked(tried, nodes, documents, words), "links")
-    roots = components(links)
-    rest = kept(_pairs_across(buckets, roots).join(tried, ["a", "b"], "left_anti"), "pairs")
-    if not rest.isEmpty():
-        more = kept(_linked(rest, nodes, documents, words), "links")
-        if not more.isEmpty():
-            roots = components(links.unionByName(more))
-
+    roots = _components_of_sets(nodes, documents, words)
     named = (
         nodes.select("node", "fingerprint", "first_doc")
         .join(roots, "node", "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,16 +20,21 @@ from tallyline.operators import cleaning, joins, layout
 from tallyline.plans import gold, modes, reports, views
 from tallyline.plans import silver as clean
 from tallyline.sinks.scratch import fresh_path
-from tallyline.sinks.tables import write_by_month, write_csv, write_table
+from tallyline.sinks.tables import (
+    read_partitioned,
+    write_by_month,
+    write_csv,
+    write_table,
+)
 from tallyline.sources import delimited, tables, trade
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-LIMITED_CUSTOMERS = 5_000
-LIMITED_PRODUCTS = 2_000
-SINK_FILES = 16
+#: Fewest tasks of a set number; larger tables get more.
+LEAST_TASKS = 16
 HEAD = 8
+SILVER_FOLDERS = ("yyyymm", "region")
 
 
 def query(function: Query) -> Query:
@@ -40,10 +46,23 @@ def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.sales(trade.star(spark, sf_dir))
 
 
+def _amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.sales(trade.star(spark, sf_dir), product_attributes=False)
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.silver(trade.star(spark, sf_dir))
 
 
+def _spend(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return clean.customer_spend(trade.star(spark, sf_dir), columns or ("region",))
+
+
+def _tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks for the transactions; their count comes from the file footers."""
+    return layout.tasks_for(trade.table(spark, sf_dir, "lineitem").count(), LEAST_TASKS)
+
+
 # Sources
 
 
@@ -90,8 +109,8 @@ def scan_csv_typed(spark, sf_dir):
 
 @query
 def gen_ids(spark, sf_dir):
-    n = trade.table(spark, sf_dir, "orders").count()
-    return ids(spark, n, 8).select("id", F.format_string("TXN-%010d", "id").alias("txn_key"))
+    rows = trade.table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("id"))
+    return rows.select("id", F.format_string("TXN-%010d", "id").alias("txn_key"))
 
 
 @query
@@ -338,22 +357,6 @@ def join_inner_broadcast(spark, sf_dir):
     return _joined(spark, sf_dir, "inner", "broadcast")
 
 
-@query
-def join_limited_dim(spark, sf_dir):
-    """Dimensions cut to their first keys: the cut itself bounds what is broadcast."""
-    star = trade.star(spark, sf_dir)
-    customers = joins.first_by_key(
-        clean.pruned_customers(star.customers), "customer_id", LIMITED_CUSTOMERS
-    )
-    products = joins.first_by_key(
-        clean.pruned_products(star.products), "product_id", LIMITED_PRODUCTS
-    )
-    joined = star.txns.join(F.broadcast(customers), "customer_id").join(
-        F.broadcast(products), "product_id"
-    )
-    return doubles(joined.select(*_JOINED), "base_price")
-
-
 def _fan_out(spark, sf_dir, strategy):
     return joins.fan_out(
         doubles(trade.state_sales(spark, sf_dir), "sales"),
@@ -395,28 +398,34 @@ def gold_monthly_region_cat(spark, sf_dir):
 
 @query
 def top_customers_region(spark, sf_dir):
-    return doubles(gold.top_customers(_silver(spark, sf_dir)), "total_spent")
+    return doubles(gold.top_spenders(_spend(spark, sf_dir)), "total_spent")
 
 
 @query
 def top5_customers_region(spark, sf_dir):
-    return doubles(gold.top_customers(_silver(spark, sf_dir), n=5), "total_spent")
+    return doubles(gold.top_spenders(_spend(spark, sf_dir), n=5), "total_spent")
 
 
 @query
 def top_customers_rank(spark, sf_dir):
-    return doubles(gold.top_customers(_silver(spark, sf_dir), method="rank"), "total_spent")
+    return doubles(gold.top_spenders(_spend(spark, sf_dir), method="rank"), "total_spent")
 
 
 @query
 def top_customers_row_number(spark, sf_dir):
-    top = gold.top_customers(_silver(spark, sf_dir), method="row_number")
+    top = gold.top_spenders(_spend(spark, sf_dir), method="row_number")
     return doubles(top, "total_spent")
 
 
 @query
 def gold_rev_trend(spark, sf_dir):
-    return doubles(gold.revenue_trend(_sales(spark, sf_dir)), "revenue", "rev_ma_3m")
+    return doubles(gold.revenue_trend(_amounts(spark, sf_dir)), "revenue", "rev_ma_3m")
+
+
+@query
+def rev_trend_calendar(spark, sf_dir):
+    trend = gold.revenue_trend_calendar(_amounts(spark, sf_dir))
+    return doubles(trend, "revenue", "rev_ma_3m")
 
 
 @query
@@ -426,12 +435,13 @@ def gold_top_products(spark, sf_dir):
 
 @query
 def customer_spend(spark, sf_dir):
-    return doubles(gold.customer_spend(_silver(spark, sf_dir)), "total_spent")
+    spend = _spend(spark, sf_dir).select("region", "customer_id", "total_spent")
+    return doubles(spend, "total_spent")
 
 
 @query
 def monthly_total(spark, sf_dir):
-    return doubles(gold.monthly_total(_sales(spark, sf_dir)), "revenue")
+    return doubles(gold.monthly_total(_amounts(spark, sf_dir)), "revenue")
 
 
 @query
@@ -449,13 +459,12 @@ def category_share(spark, sf_dir):
 
 @query
 def mom_growth(spark, sf_dir):
-    return doubles(reports.month_growth(_sales(spark, sf_dir)), "revenue")
+    return doubles(reports.month_growth(_amounts(spark, sf_dir)), "revenue")
 
 
 @query
 def sales_by_age_group(spark, sf_dir):
-    with_age = clean.sales_by_customer(trade.star(spark, sf_dir), columns=("age",))
-    return doubles(reports.sales_by_age_group(with_age), "revenue")
+    return doubles(reports.spend_by_age_group(_spend(spark, sf_dir, "age")), "revenue")
 
 
 @query
@@ -481,13 +490,13 @@ def report_silver_sample(spark, sf_dir):
 
 @query
 def report_region(spark, sf_dir):
-    report = reports.region_report(_silver(spark, sf_dir))
+    report = reports.spend_report(_spend(spark, sf_dir))
     return doubles(report, "region_revenue", "total_spent")
 
 
 @query
 def report_monthly(spark, sf_dir):
-    return doubles(reports.monthly_report(_sales(spark, sf_dir)), "revenue", "rev_ma_3m")
+    return doubles(reports.monthly_report(_amounts(spark, sf_dir)), "revenue", "rev_ma_3m")
 
 
 @query
@@ -542,23 +551,48 @@ def sql_view_top_products(spark, sf_dir):
     return views.over_silver(spark, _silver(spark, sf_dir), views.TOP_PRODUCTS)
 
 
+@query
+def sql_gold_monthly(spark, sf_dir):
+    """Revenue by month over the registered table."""
+    return views.over_gold(spark, _gold(spark, sf_dir), views.REVENUE_BY_MONTH)
+
+
+@query
+def sql_gold_customers(spark, sf_dir):
+    return views.over_gold(spark, _gold(spark, sf_dir), views.FIRST_CUSTOMERS)
+
+
+@query
+def sql_gold_trend(spark, sf_dir):
+    return views.over_gold(spark, _gold(spark, sf_dir), views.MONTHS_ABOVE_TREND)
+
+
+@query
+def sql_gold_products(spark, sf_dir):
+    return views.over_gold(spark, _gold(spark, sf_dir), views.PRODUCTS_BY_CATEGORY)
+
+
+def _gold(spark, sf_dir):
+    return {
+        "gold_monthly_region_cat": gold_monthly_region_cat(spark, sf_dir),
+        "gold_top_customers": top_customers_region(spark, sf_dir),
+        "gold_rev_trend": gold_rev_trend(spark, sf_dir),
+        "gold_top_products": gold_top_products(spark, sf_dir),
+    }
+
+
 # Physical modes and layout
 
 
 def _mode_counts(spark, sf_dir, mode):
-    """Rows per region, stored while the mode's frame is kept and read back."""
+    """Rows per region. The frame is read once, so no mode keeps it."""
     star = trade.star(spark, sf_dir)
     dimensions = [
         ("customer_id", clean.pruned_customers(star.customers)),
         ("product_id", clean.pruned_products(star.products)),
     ]
-    path = fresh_path(spark, f"mode_{mode}")
-    with modes.joined(mode, star.txns, dimensions, ["region"]) as frame:
-        counts = reports.count_by_region(frame)
-        if mode != "full":
-            return counts
-        write_table(counts, path, dry_run=False)
-    return tables.read_table(spark, path, counts.schema)
+    with modes.joined(mode, star.txns, dimensions, ["region"], keep=False) as frame:
+        return reports.count_by_region(frame)
 
 
 @query
@@ -576,18 +610,44 @@ def mode_full(spark, sf_dir):
     return _mode_counts(spark, sf_dir, "full")
 
 
+@query
+def keyed_mode_counts(spark, sf_dir):
+    """Rows per region of the text-keyed tables under each mode, side by side."""
+    dimensions = [
+        ("customer_id", gen_bench_customers(spark, sf_dir).select("customer_id", "region")),
+        ("product_id", gen_bench_products(spark, sf_dir).select("product_id")),
+    ]
+    counts = []
+    for mode in modes.MODES:
+        with modes.joined(
+            mode, gen_bench_txns(spark, sf_dir), dimensions, ["region"], keep=False
+        ) as frame:
+            counts.append(
+                reports.count_by_region(frame).select(F.lit(mode).alias("mode"), "region", "row_count")
+            )
+    return reduce(DataFrame.unionByName, counts)
+
+
 _LAID_OUT = ("txn_id", "yyyymm", "region", "quantity")
 
 
 @query
 def repartition_keys(spark, sf_dir):
     rows = _silver(spark, sf_dir).select(*_LAID_OUT)
-    return layout.spread_by_keys(rows, 16, "yyyymm", "region", spread=16)
+    n = _tasks(spark, sf_dir)
+    return layout.spread_by_keys(rows, n, "yyyymm", "region", spread=n, row_key=["txn_id"])
+
+
+@query
+def repartition_by_key(spark, sf_dir):
+    """Grouped by one key, the number of tasks left to adaptive execution."""
+    return layout.spread_by_keys(_silver(spark, sf_dir).select(*_LAID_OUT), None, "yyyymm")
 
 
 @query
 def partition_profile(spark, sf_dir):
-    return layout.partition_profile(repartition_keys(spark, sf_dir))
+    """Whether the spread rows lie as evenly as they should."""
+    return layout.balance(repartition_keys(spark, sf_dir), _tasks(spark, sf_dir))
 
 
 # Sinks: written and read back
@@ -603,11 +663,23 @@ def sink_parquet_roundtrip(spark, sf_dir):
 
 @query
 def sink_partitioned_roundtrip(spark, sf_dir):
+    stored = _stored_silver(spark, sf_dir).select(*clean.SILVER_COLUMNS)
+    return doubles(stored, "base_price", "unit_price", "total_amount")
+
+
+def _stored_silver(spark, sf_dir):
     rows = _silver(spark, sf_dir)
     path = fresh_path(spark, "silver_orders")
-    write_table(rows, path, partition_by=("yyyymm", "region"), dry_run=False)
-    stored = tables.read_table(spark, path, rows.schema).select(*clean.SILVER_COLUMNS)
-    return doubles(stored, "base_price", "unit_price", "total_amount")
+    write_table(rows, path, partition_by=SILVER_FOLDERS, dry_run=False)
+    return read_partitioned(spark, path, rows.schema, SILVER_FOLDERS)
+
+
+@query
+def scan_silver_pruned(spark, sf_dir):
+    """One month and region of the stored clean sales: only its folder is listed and read."""
+    stored = _stored_silver(spark, sf_dir)
+    one = stored.where((F.col("yyyymm") == "199701") & (F.col("region") == "ASIA"))
+    return doubles(one.select("txn_id", "yyyymm", "region", "quantity", "total_amount"), "total_amount")
 
 
 @query
@@ -629,7 +701,7 @@ def sink_csv_roundtrip(spark, sf_dir):
 @query
 def sink_file_count(spark, sf_dir):
     path = fresh_path(spark, "txns_in_files")
-    write_table(trade.transactions(spark, sf_dir), path, files=SINK_FILES, dry_run=False)
+    write_table(trade.transactions(spark, sf_dir), path, files=_tasks(spark, sf_dir), dry_run=False)
     return (
         tables.read_table(spark, path)
         .groupBy(F.input_file_name().alias("file"))

@@ -23,8 +23,8 @@ from tallyline.plans.gold import TOP_CUSTOMERS, gold_tables
 from tallyline.plans.reports import head_reports, silver_sample
 from tallyline.plans.silver import silver
 from tallyline.session import build_session
-from tallyline.sinks.tables import Written, write_table
-from tallyline.sources.delimited import read_star_csv
+from tallyline.sinks.tables import Written, read_partitioned, write_table
+from tallyline.sources.delimited import read_star_csv, rejected_lines
 from tallyline.sources.tables import Star, read_star, read_table, require_unique_key
 
 SILVER_PARTITIONS = ("yyyymm", "region")
@@ -66,7 +66,7 @@ def run(
     written = [
         write_table(clean, path, fmt=fmt, partition_by=SILVER_PARTITIONS, dry_run=False)
     ]
-    stored = _stored(spark, path, fmt, clean)
+    stored = read_partitioned(spark, path, clean.schema, SILVER_PARTITIONS, fmt)
     yield _finish(stored, written, output, started, fmt=fmt, top_n=top_n, dry_run=False)
 
 
@@ -126,6 +126,12 @@ def main(argv: list[str] | None = None) -> None:
         for name, sample in head_reports(result.gold).items():
             print(name)
             sample.show(truncate=False)
+        if args.input_format == "csv":
+            for name, lines in rejected_lines(spark, args.input).items():
+                print(f"{name}: {lines.count()} lines rejected")
+                if args.write:
+                    path = f"{args.output.rstrip('/')}/rejected_{name}"
+                    result.written.append(write_table(lines, path, dry_run=False))
         for table in result.written:
             print(table)
     print(f"finished in {time.perf_counter() - started:.2f} s")

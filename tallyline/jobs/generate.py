@@ -6,12 +6,14 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.generate import ids, keyed, star, states
+from tallyline.generate import ROWS_PER_TASK, ids, keyed, star, states
+from tallyline.operators.layout import tasks_for
 from tallyline.session import build_session
 from tallyline.sinks.tables import Written, write_by_month, write_csv, write_table
 from tallyline.sources.tables import Star, star_paths
 
-KEYED_FILES = 16
+#: Fewest files of the transactions; more rows get more files.
+LEAST_FILES = 16
 
 
 def star_frames(
@@ -77,8 +79,13 @@ def write_star_csv(tables: Star, base: str, *, dry_run: bool = True) -> list[Wri
 
 
 def write_keyed(
-    tables: dict[str, DataFrame], base: str, files: int = KEYED_FILES, *, dry_run: bool = True
+    tables: dict[str, DataFrame],
+    base: str,
+    files: int = LEAST_FILES,
+    *,
+    dry_run: bool = True,
 ) -> list[Written]:
+    """``files`` is the number of files of the transactions, see ``keyed_files``."""
     return [
         write_table(
             frame,
@@ -90,6 +97,10 @@ def write_keyed(
     ]
 
 
+def keyed_files(n_txns: int) -> int:
+    return tasks_for(n_txns, LEAST_FILES, ROWS_PER_TASK)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--base", required=True, help="folder that will hold the tables")
@@ -109,7 +120,12 @@ def main(argv: list[str] | None = None) -> None:
         write = write_star if args.format == "parquet" else write_star_csv
         done = write(star_frames(spark, *sizes), args.base, dry_run=not args.write)
     else:
-        done = write_keyed(keyed_frames(spark, *sizes), args.base, dry_run=not args.write)
+        done = write_keyed(
+            keyed_frames(spark, *sizes),
+            args.base,
+            keyed_files(args.num_txns),
+            dry_run=not args.write,
+        )
     for table in done:
         print(table)
 

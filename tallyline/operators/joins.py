@@ -80,15 +80,16 @@ def join_dimensions(
     return facts
 
 
-def first_by_key(dimension: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` rows with the lowest keys: a truncated dimension that is the same each time."""
-    return dimension.orderBy(key).limit(n)
-
-
 def fan_out(
     facts: DataFrame, pairs: DataFrame, key: str, strategy: str = "auto"
 ) -> DataFrame:
-    """Inner join with a side that may repeat the key: every match is a row."""
+    """Inner join with a side that may repeat the key: every match is a row.
+
+    Few keys with very many facts each are what a shuffle join is worst at, so ``auto`` looks
+    at the measured size of the pairs as ``broadcast`` does, and leaves the rest to Catalyst.
+    """
+    if strategy == "auto":
+        strategy = "broadcast"
     return join_dimensions(facts, [(key, pairs)], how="inner", strategy=strategy)
 
 

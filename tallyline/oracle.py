@@ -275,8 +275,8 @@ ORACLE: dict[str, str] = {
                CASE WHEN channel <> 'N' THEN quantity END AS quantity, channel,
                channel = 'N' AS is_bad
         FROM txns""",
-    "gen_ids": """SELECT id, printf('TXN-%010d', id) AS txn_key
-        FROM (SELECT unnest(range(1, (SELECT COUNT(*) FROM orders) + 1)) AS id)""",
+    "gen_ids": """SELECT o_orderkey + 1 AS id, printf('TXN-%010d', o_orderkey + 1) AS txn_key
+        FROM orders""",
     "gen_customers": GEN_CUSTOMERS,
     "gen_products": GEN_PRODUCTS,
     "gen_txns": GEN_TXNS,
@@ -349,10 +349,6 @@ ORACLE: dict[str, str] = {
              LEFT JOIN products p USING (product_id)""",
     "join_inner_shuffle": INNER,
     "join_inner_broadcast": INNER,
-    "join_limited_dim": f"""{STAR} {JOINED}
-        FROM txns t
-             JOIN (SELECT * FROM customers ORDER BY customer_id LIMIT 5000) c USING (customer_id)
-             JOIN (SELECT * FROM products ORDER BY product_id LIMIT 2000) p USING (product_id)""",
     "join_fanout": FAN_OUT,
     "join_fanout_broadcast": FAN_OUT,
     "sum_by_category": f"""WITH {STATE_SALES}
@@ -364,6 +360,12 @@ ORACLE: dict[str, str] = {
     "top_customers_rank": top_customers("rank", 10),
     "top_customers_row_number": top_customers("row_number", 10, ", customer_id"),
     "gold_rev_trend": TREND,
+    "rev_trend_calendar": f"""{WITH_SILVER}, {MONTHLY}
+        SELECT yyyymm, CAST(revenue AS DOUBLE) AS revenue,
+               CAST(round(AVG(revenue) OVER (
+                   ORDER BY CAST(yyyymm AS INT) // 100 * 12 + CAST(yyyymm AS INT) % 100
+                   RANGE BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS DOUBLE) AS rev_ma_3m
+        FROM monthly""",
     "gold_top_products": TOP_PRODUCTS,
     "customer_spend": f"""{WITH_SILVER}, {SPEND}
         SELECT region, customer_id, CAST(total_spent AS DOUBLE) AS total_spent FROM spend""",
@@ -422,10 +424,33 @@ ORACLE: dict[str, str] = {
     "sql_view_top_customers": top_customers("dense_rank", 10),
     "sql_view_trend": TREND,
     "sql_view_top_products": TOP_PRODUCTS,
+    "sql_gold_monthly": f"""SELECT yyyymm, round(SUM(revenue), 2) AS revenue,
+               CAST(SUM(units) AS BIGINT) AS units
+        FROM ({MONTHLY_REGION_CATEGORY}) GROUP BY yyyymm""",
+    "sql_gold_customers": f"""SELECT region, customer_id, total_spent
+        FROM ({top_customers("dense_rank", 10)}) WHERE rank = 1""",
+    "sql_gold_trend": f"""SELECT * FROM ({TREND}) WHERE revenue > rev_ma_3m""",
+    "sql_gold_products": f"""SELECT category, COUNT(*) AS products,
+               CAST(SUM(units) AS BIGINT) AS units
+        FROM ({TOP_PRODUCTS}) GROUP BY category""",
     "mode_baseline": COUNT_INNER,
     "mode_broadcast": COUNT_INNER,
     "mode_full": COUNT_INNER,
     "repartition_keys": f"{WITH_SILVER} SELECT txn_id, yyyymm, region, quantity FROM silver",
+    "repartition_by_key": f"{WITH_SILVER} SELECT txn_id, yyyymm, region, quantity FROM silver",
+    "partition_profile": f"""{WITH_SILVER}
+        SELECT COUNT(*) AS row_count, true AS within_count, true AS is_balanced FROM silver""",
+    "keyed_mode_counts": f"""
+        WITH counts AS (
+            SELECT c.region, COUNT(*) AS row_count
+            FROM ({GEN_BENCH_TXNS}) t JOIN ({GEN_BENCH_CUSTOMERS}) c USING (customer_id)
+                 JOIN ({GEN_BENCH_PRODUCTS}) p USING (product_id)
+            GROUP BY c.region)
+        SELECT mode, region, row_count
+        FROM counts, (VALUES ('baseline'), ('broadcast'), ('full')) AS modes(mode)""",
+    "scan_silver_pruned": f"""{WITH_SILVER}
+        SELECT txn_id, yyyymm, region, quantity, CAST(total_amount AS DOUBLE) AS total_amount
+        FROM silver WHERE yyyymm = '199701' AND region = 'ASIA'""",
     "sink_parquet_roundtrip": f"WITH {TXNS} SELECT {TXN_COLUMNS} FROM txns",
     "sink_partitioned_roundtrip": f"{WITH_SILVER} {SILVER_ROWS}",
     "sink_year_month": f"""WITH {TXNS}
@@ -436,5 +461,6 @@ ORACLE: dict[str, str] = {
         SELECT customer_id, customer_name, age, gender, country, region, false AS is_bad
         FROM customers""",
     "sink_file_count": f"""WITH {TXNS}
-        SELECT CAST(16 AS BIGINT) AS files, COUNT(*) AS row_count FROM txns""",
+        SELECT CAST(greatest(16, ceil(COUNT(*) / 1000000)) AS BIGINT) AS files,
+               COUNT(*) AS row_count FROM txns""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.operators.ranking import top_overall, top_per_group
@@ -29,6 +29,7 @@ def monthly_region_category(silver: DataFrame) -> DataFrame:
 
 
 def customer_spend(silver: DataFrame) -> DataFrame:
+    """Spend by customer from stored clean sales; ``silver.customer_spend`` starts from a star."""
     return silver.groupBy("region", "customer_id").agg(
         F.sum("total_amount").alias("total_spent")
     )
@@ -38,8 +39,15 @@ def top_customers(
     silver: DataFrame, n: int = TOP_CUSTOMERS, method: str = "dense_rank"
 ) -> DataFrame:
     """Best customers of each region; unknown customers form the NULL region."""
+    return top_spenders(customer_spend(silver), n, method)
+
+
+def top_spenders(
+    spend: DataFrame, n: int = TOP_CUSTOMERS, method: str = "dense_rank"
+) -> DataFrame:
+    """The same from spend by customer."""
     ranked = top_per_group(
-        customer_spend(silver), "region", "total_spent", n, method, tie_break=["customer_id"]
+        spend, "region", "total_spent", n, method, tie_break=["customer_id"]
     )
     return ranked.select("region", "customer_id", "total_spent", "rank").orderBy(
         "region", "rank", "customer_id"
@@ -58,6 +66,19 @@ def revenue_trend(silver: DataFrame) -> DataFrame:
     )
 
 
+def revenue_trend_calendar(silver: DataFrame) -> DataFrame:
+    """Monthly revenue with the mean over the last three calendar months that have sales: a
+    month without sales shortens the frame instead of reaching further back."""
+    month = F.col("yyyymm").cast("int")
+    number = F.floor(month / 100) * 12 + month % 100
+    mean = F.avg("revenue").over(Window.orderBy(number).rangeBetween(-2, 0))
+    return (
+        monthly_total(silver)
+        .withColumn("rev_ma_3m", F.round(F.when(F.col("yyyymm").isNotNull(), mean), 4))
+        .orderBy("yyyymm")
+    )
+
+
 def top_products(silver: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
     revenue = silver.groupBy("product_id", "product_name", "category").agg(
         F.sum("total_amount").alias("revenue"), F.sum("quantity").alias("units")

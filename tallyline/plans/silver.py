@@ -64,8 +64,20 @@ def enriched(star: Star, strategy: str = "broadcast") -> DataFrame:
 
 
 def sellable(products: DataFrame) -> DataFrame:
-    """Products that can be sold: the price rule for known and unknown products alike."""
-    return products.filter(F.col("base_price") > 0)
+    """Products that can be sold, one row for each key: the price rule for known and unknown
+    products alike. Of several rows of a product that can be sold the first one by price
+    counts, so a repeated key can neither multiply sales nor give two prices, whichever join
+    is chosen. Without attributes the lowest price is all that has to be read."""
+    sold = products.filter(F.col("base_price") > 0)
+    attributes = [name for name in products.columns if name not in ("product_id", "base_price")]
+    if not attributes:
+        return sold.groupBy("product_id").agg(F.min("base_price").alias("base_price"))
+    return first_copy(sold, "product_id", ["base_price", *attributes])
+
+
+def known_customers(star: Star, columns=CUSTOMER_COLUMNS) -> DataFrame:
+    """Customers with chosen attributes, one row for each key (the first one)."""
+    return first_copy(pruned_customers(star.customers, columns), "customer_id")
 
 
 def unique_valid(txns: DataFrame, products: DataFrame, how: str) -> DataFrame:
@@ -74,29 +86,32 @@ def unique_valid(txns: DataFrame, products: DataFrame, how: str) -> DataFrame:
     Invalid copies go first, so a valid copy survives next to an invalid one.
     """
     bare = txns.select(*TXN_COLUMNS).filter(F.col("quantity") > 0)
-    return first_copy(
-        bare.join(sellable(products), "product_id", how), "txn_id", TXN_COLUMNS[1:]
-    )
+    return first_copy(bare.join(products, "product_id", how), "txn_id", TXN_COLUMNS[1:])
 
 
 def priced_sales(txns: DataFrame, products: DataFrame, products_are_small: bool) -> DataFrame:
-    """Clean sales with product attributes.
+    """Clean sales with the attributes of ``products``, which are sellable ones.
 
     Small products are joined twice by broadcast, first for their keys alone, so that the
     shuffle of the deduplication carries bare transactions. Large ones are joined once,
     before it: a second join would be another shuffle of the facts.
     """
     if products_are_small:
-        products = F.broadcast(sellable(products))
+        products = F.broadcast(products)
         unique = unique_valid(txns, products, "left_semi").join(products, "product_id")
     else:
         unique = unique_valid(txns, products, "inner")
     return with_derived(unique.withColumn("unit_price", F.col("base_price")))
 
 
-def sales(star: Star, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Clean sales without customer attributes, for tables that need none."""
+def sales(
+    star: Star, limit: int = BROADCAST_LIMIT_BYTES, product_attributes: bool = True
+) -> DataFrame:
+    """Clean sales without customer attributes, or without any, for tables that need none."""
     products = pruned_products(star.products)
+    if not product_attributes:
+        products = products.select("product_id", "base_price")
+    products = sellable(products)
     (size,) = measured_bytes(products)
     return priced_sales(star.txns, products, size <= limit)
 
@@ -108,8 +123,8 @@ def sales_by_customer(
 
     Customers are joined after the deduplication, which has then dropped the copies.
     """
-    products = pruned_products(star.products)
-    customers = pruned_customers(star.customers, columns)
+    products = sellable(pruned_products(star.products))
+    customers = known_customers(star, columns)
     products_size, customers_size = measured_bytes(products, customers)
     if customers_size <= limit:
         customers = F.broadcast(customers)
@@ -117,6 +132,23 @@ def sales_by_customer(
     return priced.join(customers, "customer_id", "left")
 
 
+def customer_spend(
+    star: Star, columns=("region",), limit: int = BROADCAST_LIMIT_BYTES
+) -> DataFrame:
+    """``customer_id``, ``total_spent`` and chosen attributes of every customer with sales.
+
+    Sales are summed by customer before the join: a hot customer is reduced where its rows
+    are, and the join moves one row for each customer, not the sales.
+    """
+    spent = (
+        sales(star, limit, product_attributes=False)
+        .groupBy("customer_id")
+        .agg(F.sum("total_amount").alias("total_spent"))
+    )
+    (customers,) = broadcast_if_small(known_customers(star, columns), limit=limit)
+    return spent.join(customers, "customer_id", "left")
+
+
 def count_sales(star: Star, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Rows of the clean sales. Counting ids needs no survivor, so nothing is sorted."""
     (products,) = broadcast_if_small(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,24 @@ LIMIT 50
 """
 
 
+REVENUE_BY_MONTH = """
+SELECT yyyymm, ROUND(SUM(revenue), 2) AS revenue, SUM(units) AS units
+FROM gold_monthly_region_cat GROUP BY yyyymm
+"""
+
+FIRST_CUSTOMERS = """
+SELECT region, customer_id, total_spent FROM gold_top_customers WHERE rank = 1
+"""
+
+MONTHS_ABOVE_TREND = """
+SELECT yyyymm, revenue, rev_ma_3m FROM gold_rev_trend WHERE revenue > rev_ma_3m
+"""
+
+PRODUCTS_BY_CATEGORY = """
+SELECT category, COUNT(*) AS products, SUM(units) AS units FROM gold_top_products GROUP BY category
+"""
+
+
 def register(frames: Mapping[str, DataFrame]) -> None:
     """Make frames known to SQL under their names."""
     for name, frame in frames.items():
@@ -63,6 +82,20 @@ def register(frames: Mapping[str, DataFrame]) -> None:
 
 
 def over_silver(spark: SparkSession, silver: DataFrame, statement: str) -> DataFrame:
-    """Run a statement with ``silver`` registered as the clean sales view."""
-    register({SILVER_VIEW: silver})
-    return spark.sql(statement)
+    """Run a statement with ``silver`` as the clean sales view."""
+    return _over(spark, {SILVER_VIEW: silver}, statement)
+
+
+def over_gold(
+    spark: SparkSession, tables: Mapping[str, DataFrame], statement: str
+) -> DataFrame:
+    """Run a statement with the business tables as views."""
+    return _over(spark, tables, statement)
+
+
+def _over(spark: SparkSession, frames: Mapping[str, DataFrame], statement: str) -> DataFrame:
+    """The frames stand for their names in this statement alone: views that the session has
+    under these names stay as they are."""
+    for name in frames:
+        statement = re.sub(rf"\b{name}\b", "{" + name + "}", statement)
+    return spark.sql(statement, **frames)

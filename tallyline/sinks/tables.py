@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.functions.dates import month_part, year_part
 from tallyline.operators.layout import group_for_write
@@ -52,6 +53,7 @@ def write_table(
         df = df.repartition(files)
     elif partition_by and grouped:
         df = group_for_write(df, *partition_by)
+    df = _marked(df, partition_by)
     writer = df.write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -66,6 +68,38 @@ def write_table(
     return plan
 
 
+#: Stands for an empty text in a folder's name, where Spark would store it as NULL.
+EMPTY = "__empty__"
+
+
+def _texts(schema: T.StructType, names: Sequence[str]) -> list[str]:
+    return [name for name in names if isinstance(schema[name].dataType, T.StringType)]
+
+
+def _marked(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    return df.withColumns(
+        {
+            name: F.when(F.col(name) == "", EMPTY).otherwise(F.col(name))
+            for name in _texts(df.schema, partition_by)
+        }
+    )
+
+
+def read_partitioned(
+    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str], fmt: str = "parquet"
+) -> DataFrame:
+    """A table that ``write_table`` has partitioned, empty texts as they were. Conditions on
+    the partition columns still choose the folders."""
+    reader = spark.read.format(fmt)
+    stored = (reader.schema(schema) if fmt == "parquet" else reader).load(path)
+    return stored.withColumns(
+        {
+            name: F.when(F.col(name) == EMPTY, "").otherwise(F.col(name))
+            for name in _texts(schema, partition_by)
+        }
+    )
+
+
 def write_by_month(
     df: DataFrame, path: str, ts: str = "txn_ts", *, grouped: bool = True, dry_run: bool = True
 ) -> Written:

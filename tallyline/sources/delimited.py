@@ -66,14 +66,40 @@ def read_typed_csv(
 STAR_SCHEMAS = {"txns": TRANSACTIONS, "customers": CUSTOMERS, "products": PRODUCTS}
 
 
-def read_star_csv(spark: SparkSession, base: str) -> Star:
-    """The star from CSV folders. Values that will not cast are NULL, for cleaning to judge."""
+STAR_KEYS = {"txns": "txn_id", "customers": "customer_id", "products": "product_id"}
+
+
+def _star_lines(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The typed lines of each table with ``is_bad`` and ``has_key``."""
     paths = star_paths(base)
-    schema_of = {paths[name]: schema for name, schema in STAR_SCHEMAS.items()}
-    frames = read_all(
-        paths.values(), lambda path: read_typed_csv(spark, path, schema_of[path]).drop("is_bad")
+    name_of = {path: name for name, path in paths.items()}
+
+    def lines(path: str) -> DataFrame:
+        name = name_of[path]
+        typed_lines = read_typed_csv(spark, path, STAR_SCHEMAS[name])
+        return typed_lines.withColumn("has_key", F.col(STAR_KEYS[name]).isNotNull())
+
+    return dict(zip(paths, read_all(paths.values(), lines), strict=True))
+
+
+def read_star_csv(spark: SparkSession, base: str) -> Star:
+    """The star from CSV folders. Values that will not cast are NULL, for cleaning to judge;
+    a line without its key cannot be told from others and is left to ``rejected_lines``."""
+    return Star(
+        **{
+            name: lines.where("has_key").drop("is_bad", "has_key")
+            for name, lines in _star_lines(spark, base).items()
+        }
     )
-    return Star(**dict(zip(paths, frames, strict=True)))
+
+
+def rejected_lines(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """Of each table the lines that are broken, have a value that will not cast (``is_bad``),
+    or lack their key (not ``has_key``): nothing that is dropped or blanked goes uncounted."""
+    return {
+        name: lines.where("is_bad or not has_key")
+        for name, lines in _star_lines(spark, base).items()
+    }
 
 
 def inferred_csv(spark: SparkSession, path: str) -> DataFrame:

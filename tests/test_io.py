@@ -8,7 +8,13 @@ from pyspark.sql import types as T
 
 from tallyline.plans.silver import silver
 from tallyline.sinks import scratch
-from tallyline.sinks.tables import FormatUnavailable, write_by_month, write_csv, write_table
+from tallyline.sinks.tables import (
+    FormatUnavailable,
+    read_partitioned,
+    write_by_month,
+    write_csv,
+    write_table,
+)
 from tallyline.sources import delimited, tables
 
 
@@ -177,3 +183,57 @@ class _Session:
 def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.shared_base(_Session)
+
+
+def test_empty_texts_survive_a_partitioned_write(spark, tmp_path):
+    frame = spark.createDataFrame(
+        [(1, ""), (2, None), (3, "North")], "id int, region string"
+    )
+    path = str(tmp_path / "t")
+    write_table(frame, path, partition_by=("region",), dry_run=False)
+    back = read_partitioned(spark, path, frame.schema, ("region",))
+    assert rows(back) == rows(frame)
+    assert rows(back.where("region = ''")) == rows(frame.where("region = ''"))
+
+
+def test_rejected_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "txns").mkdir()
+    (tmp_path / "txns" / "f.csv").write_text(
+        "txn_id,txn_ts,customer_id,product_id,quantity,channel\n"
+        "a,2025-01-01 10:00:00,1,1,2,Online\n"
+        "b,2025-01-01 10:00:00,1,1,two,Online\n"
+        "c,2025-01-01 10:00:00,1\n"
+        ",2025-01-01 10:00:00,1,1,2,Online\n"
+        ",2025-01-01 10:00:00,2,1,2,Online\n"
+    )
+    for name, header in (
+        ("dim_customers", "customer_id,customer_name,age,gender,country,region"),
+        ("dim_products", "product_id,category,subcategory,product_name,base_price"),
+    ):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f.csv").write_text(header + "\n")
+    star = delimited.read_star_csv(spark, str(tmp_path))
+    assert sorted(row.txn_id for row in star.txns.collect()) == ["a", "b", "c"]
+    rejected = delimited.rejected_lines(spark, str(tmp_path))
+    found = rejected["txns"].collect()
+    assert sorted((row.txn_id or "", row.is_bad, row.has_key) for row in found) == [
+        ("", False, False), ("", False, False), ("b", True, True), ("c", True, True),
+    ]
+    assert rejected["customers"].count() == 0
+
+
+def test_scratch_of_an_application_goes_with_it(tmp_path):
+    import subprocess
+    import sys
+
+    code = f"""
+from tallyline.session import build_session
+from tallyline.sinks.scratch import fresh_path
+spark = build_session("scratch", master="local[1]", spark__checkpoint__dir={str(tmp_path)!r})
+path = fresh_path(spark, "t")
+spark.range(5).write.parquet(path)
+print(spark.read.parquet(path).count())
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(__file__).parents[1])
+    assert done.stdout.strip() == "5"
+    assert not list(tmp_path.glob("tallyline-*"))

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from tallyline.catalog import QUERIES
+from tallyline.operators.layout import partition_profile
 from tallyline.oracle import ORACLE
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
@@ -19,7 +20,7 @@ TYPES = {
     "timestamp_ntz": "TIMESTAMP",
     "boolean": "BOOLEAN",
 }
-NOT_IN_SQL = {"partition_profile"}
+NOT_IN_SQL: set[str] = set()
 
 #: Output order, which a comparison of sorted rows cannot see.
 ORDERS = {
@@ -82,8 +83,8 @@ def _nulls_low(key):
     return tuple("" if part is None else part for part in key) if isinstance(key, tuple) else key
 
 
-def test_partition_profile_counts_all_rows(spark):
-    profile = QUERIES["partition_profile"](spark, SF_DIR).collect()
+def test_partitions_hold_all_rows(spark):
+    profile = partition_profile(QUERIES["repartition_keys"](spark, SF_DIR)).collect()
     assert sum(row.row_count for row in profile) == QUERIES["silver_count"](
         spark, SF_DIR
     ).first().row_count

@@ -44,13 +44,17 @@ def formatted(df):
 
 
 def test_scans_read_only_needed_columns(spark, stored_star):
-    plan = formatted(gold.monthly_total(sales(stored_star)))
+    plan = formatted(gold.monthly_total(sales(stored_star, product_attributes=False)))
     assert "customer_name" not in plan and "subcategory" not in plan and "gender" not in plan
 
 
 def test_monthly_total_shuffles_twice(spark, stored_star):
-    plan = plan_text(gold.monthly_total(sales(stored_star)))
-    assert plan.count("Exchange hashpartitioning") == 2
+    """The sales, that is; the products are made unique by key beside them."""
+    plan = plan_text(gold.monthly_total(sales(stored_star, product_attributes=False)))
+    assert plan.count("Exchange hashpartitioning(txn_id") == 1
+    assert plan.count("Exchange hashpartitioning(yyyymm") == 1
+    others = plan.count("Exchange hashpartitioning(product_id")
+    assert plan.count("Exchange hashpartitioning") == 2 + others
 
 
 def test_top_products_is_a_bounded_sort(spark, stored_star):
@@ -120,3 +124,81 @@ def test_spread_splits_a_hot_key(spark):
     assert sum(r.row_count for r in split) == 6000
     by_key = spread_by_keys(frame, None, "k")
     assert sorted(by_key.collect()) == sorted(frame.collect())
+
+
+def test_spread_splits_equal_rows_by_their_key(spark):
+    from pyspark.sql import functions as F
+
+    from tallyline.operators.layout import balance, partition_profile, spread_by_keys
+
+    frame = spark.range(0, 60_000, 1, 2).select(
+        "id", F.when(F.col("id") % 10 < 9, "hot").otherwise("cold").alias("region")
+    )
+    spread = spread_by_keys(frame, 32, "region", spread=32, row_key=["id"]).select("region")
+    sizes = [row.row_count for row in partition_profile(spread).collect()]
+    assert sum(sizes) == 60_000 and max(sizes) <= 4 * 60_000 / 32
+    assert tuple(balance(spread, 32).first()) == (60_000, True, True)
+    assert tuple(balance(frame.limit(0), 4).first()) == (0, True, True)
+
+
+def test_task_counts_follow_the_data():
+    from tallyline.jobs.generate import keyed_files
+    from tallyline.operators.layout import tasks_for
+    from tallyline.session import initial_partitions
+
+    assert tasks_for(10, 16) == 16 and tasks_for(10**9, 16) == 1000
+    assert keyed_files(200_000) == 16 and keyed_files(10**10) == 2000
+    assert initial_partitions(10**9) == 200
+    assert initial_partitions(100 * 2**40) == 100 * 2**13
+
+
+def test_a_hot_customer_is_summed_before_the_join(spark, set_conf):
+    """With broadcast off the sales of a customer are reduced below the customer join."""
+    set_conf(
+        spark__sql__autoBroadcastJoinThreshold=-1,
+        spark__sql__adaptive__autoBroadcastJoinThreshold=-1,
+    )
+    from frames import star, txn
+
+    from tallyline.plans.silver import customer_spend
+
+    txns = [txn(f"t{n}", 1 if n % 5 < 3 else n % 40, 1, 1) for n in range(500)]
+    given = star(spark, txns, customers=[(key, f"r{key % 3}") for key in range(40)])
+    for table in (
+        gold.top_spenders(customer_spend(given, limit=0)),
+        reports.spend_report(customer_spend(given, limit=0)),
+        reports.spend_by_age_group(customer_spend(given, ("age",), limit=0)),
+    ):
+        plan = plan_text(table).split("== Initial Plan ==")[0]
+        join = plan.index("SortMergeJoin [customer_id")
+        assert "partial_sum(total_amount" in plan[join:]
+
+
+def test_a_month_and_region_read_one_folder(spark, tmp_path):
+    from frames import star, txn
+
+    from tallyline.sinks.tables import read_partitioned, write_table
+
+    txns = [txn(f"t{n}", n % 4, 1, 1, ts=f"2025-0{1 + n % 3}-01 00:00:00") for n in range(60)]
+    rows = silver(star(spark, txns))
+    path = str(tmp_path / "silver")
+    folders = ("yyyymm", "region")
+    write_table(rows, path, partition_by=folders, dry_run=False)
+    stored = read_partitioned(spark, path, rows.schema, folders)
+    one = stored.where("yyyymm = '202502' and region = 'South'")
+    plan = formatted(one)
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "yyyymm" in filters and "202502" in filters and "South" in filters
+    assert one.count() == rows.where("yyyymm = '202502' and region = 'South'").count() > 0
+
+
+def test_sql_over_views_leaves_the_sessions_views_alone(spark):
+    from tallyline.plans import views
+
+    spark.range(3).createOrReplaceTempView("silver_orders")
+    frame = spark.createDataFrame(
+        [("202501", "R", "C", 2, 1.5)], "yyyymm string, region string, category string, quantity int, total_amount double"
+    )
+    assert views.over_silver(spark, frame, views.MONTHLY).first().revenue == 1.5
+    assert spark.table("silver_orders").count() == 3
+    spark.catalog.dropTempView("silver_orders")

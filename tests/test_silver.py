@@ -11,6 +11,8 @@ from tallyline.operators import cleaning
 from tallyline.plans import gold, reports
 from tallyline.plans.silver import (
     SILVER_COLUMNS,
+    count_sales,
+    customer_spend,
     enriched,
     sales,
     sales_by_customer,
@@ -171,3 +173,44 @@ def test_region_of_country(spark):
     )
     found = [row[0] for row in frame.select(region_of_country("c")).collect()]
     assert found == ["North America", "Europe", "Asia", "Other", "Other", "Other"]
+
+
+def test_repeated_dimension_keys_do_not_multiply_sales(spark):
+    """The same rows whether the dimensions are broadcast or not."""
+    given = star(
+        spark,
+        [txn("a", 1, 1, 2), txn("a", 1, 1, 2), txn("b", 2, 2, 1), txn("c", 9, 1, 1), txn("d", 1, 3, 1)],
+        customers=[(1, "North"), (1, "South"), (2, "North"), (None, "East"), (None, "West")],
+        products=[(1, "T", 10.0), (1, "T", 10.0), (1, "U", 12.0), (2, "T", None), (2, "T", 3.0), (3, "T", 0.0)],
+    )
+    found = set()
+    for limit in (0, 256 * 1024 * 1024):
+        rows = silver(given, limit).collect()
+        assert sorted(row.txn_id for row in rows) == ["a", "b", "c"]
+        assert count_sales(given, limit).first().row_count == 3
+        assert sales(given, limit).count() == 3
+        found.add(tuple(sorted(map(str, rows))))
+    assert len(found) == 1
+
+
+def test_spend_before_the_join_equals_spend_of_the_clean_sales(spark):
+    txns = [txn(f"t{n}", n % 7 if n % 11 else None, n % 3, 1 + n % 4) for n in range(300)]
+    given = star(spark, txns, customers=[(key, f"r{key % 2}") for key in range(5)])
+    columns = ["region", "customer_id", "total_spent"]
+    whole = sorted(map(str, gold.customer_spend(silver(given)).select(columns).collect()))
+    for limit in (0, 256 * 1024 * 1024):
+        assert sorted(map(str, customer_spend(given, limit=limit).select(columns).collect())) == whole
+    ages = reports.spend_by_age_group(customer_spend(given, ("age",))).collect()
+    wanted = reports.sales_by_age_group(sales_by_customer(given, ("age",))).collect()
+    assert sorted(map(str, ages)) == sorted(map(str, wanted))
+
+
+def test_calendar_trend_does_not_reach_over_a_gap(spark):
+    months = ["2024-11", "2024-12", "2025-01", "2025-05", "2025-06"]
+    txns = [txn(m, 1, 2, n + 1, ts=f"{m}-03 00:00:00") for n, m in enumerate(months)]
+    txns.append(txn("none", 1, 2, 1, ts=None))
+    rows = gold.revenue_trend_calendar(sales(star(spark, txns))).collect()
+    found = {row.yyyymm: row.rev_ma_3m and float(row.rev_ma_3m) for row in rows}
+    assert found == {
+        None: None, "202411": 2.5, "202412": 3.75, "202501": 5.0, "202505": 10.0, "202506": 11.25,
+    }

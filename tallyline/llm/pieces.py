@@ -7,8 +7,9 @@ character that no piece covers costs a fixed penalty and becomes its UTF-8 bytes
 Of equal scores the path with the longer last piece wins.
 
 No piece of the model has a word mark after another character, so a path never crosses the
-start of a word: words are encoded one by one, which gives the same path as the whole text,
-and a word met again is looked up.
+start of a word, nor does it cross from a word to punctuation that no piece joins to it. So
+texts are encoded part by part, which gives the same path as in one, and a part met again is
+looked up.
 
 Defined cases: a null text counts as empty and has no id; repeated rows are encoded one by
 one; a text that holds the word mark itself (U+2581) reads back with a space there, any other
@@ -18,7 +19,8 @@ text reads back exactly; very long words are one pass as well.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+import string
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from heapq import merge
 from operator import itemgetter
@@ -36,10 +38,17 @@ from tallyline.llm.common import Recent, pick, ship
 MARK = "▁"
 #: What an uncovered character costs beyond the lowest score of a piece.
 UNKNOWN_PENALTY = 10.0
-KNOWN_WORDS = 100_000
+KNOWN_PARTS = 300_000
 KNOWN_LENGTH = 64
 
-_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+
+def _part_pattern(apart: str) -> str:
+    """Parts of a marked text: a word with the marks before it, cut where ``apart`` begins or
+    ends."""
+    if not apart:
+        return f"{MARK}*[^{MARK}]+|{MARK}+"
+    inside = re.escape(apart)
+    return f"{MARK}*(?:[^{MARK}{inside}]+|[{inside}]+)|{MARK}+"
 
 
 class Lattice:
@@ -65,21 +74,21 @@ class Lattice:
 
     def best_path(self, text: str) -> tuple[list[tuple[int, int]], float]:
         """(length, id) along the best path, id -1 for an uncovered character; its score."""
-        best = [0.0] + [float("-inf")] * len(text)
-        came = [None] * (len(text) + 1)
+        best = [float("-inf")] * len(text) + [0.0]  # by last character; the start is at -1
+        came = [None] * len(text)
         for last, find in self._ends(text):
             length, _, score = find
-            stop = last + 1
-            score += best[stop - length]
-            if score > best[stop]:
-                best[stop], came[stop] = score, find
-        path, stop = [], len(text)
-        while stop:
-            length, id_, _ = came[stop]
+            score += best[last - length]
+            if score > best[last]:
+                best[last] = score
+                came[last] = find
+        path, last = [], len(text) - 1
+        while last >= 0:
+            length, id_, _ = came[last]
             path.append((length, id_))
-            stop -= length
+            last -= length
         path.reverse()
-        return path, best[-1]
+        return path, best[len(text) - 1]
 
 
 class Codec:
@@ -106,7 +115,8 @@ class Codec:
         self.by_word = not any(MARK in piece.lstrip(MARK) for piece in pieces)
         lowest = min(score for _, score in pieces.values())
         self.lattice = Lattice(pieces, lowest - UNKNOWN_PENALTY)
-        self.known = Recent(KNOWN_WORDS)  # word: (ids, score)
+        self.known = _Parts(self)
+        self.part = re.compile(_part_pattern(_apart([*pieces])))
 
     def _encode(self, text: str) -> tuple[bytes, float]:
         path, score = self.lattice.best_path(text)
@@ -125,22 +135,50 @@ class Codec:
         if not text:
             return np.empty(0, np.int32), 0.0
         marked = MARK + text.replace(" ", MARK)
-        parts, total, known = [], 0.0, self.known
-        for word in _WORD.findall(marked) if self.by_word else [marked]:
-            found = known[word]
-            if found is None:
-                found = self._encode(word)
-                if len(word) <= KNOWN_LENGTH:
-                    known.put(word, found)
-            parts.append(found[0])
-            total += found[1]
-        return np.frombuffer(b"".join(parts), np.int32), total
+        known = self.known
+        found = [known[part] for part in (self.part.findall(marked) if self.by_word else [marked])]
+        ids = np.frombuffer(b"".join([part[0] for part in found]), np.int32)
+        return ids, sum([part[1] for part in found])
 
     def decode(self, ids: Sequence[int] | np.ndarray) -> str:
         text = b"".join([self.bytes_of[id_] for id_ in np.asarray(ids, int).tolist()]).decode("utf-8", "replace")
         return text.removeprefix(" ")
 
 
+def _crossings(pieces: Iterable[str], chars: set[str]) -> Iterator[tuple[str, str]]:
+    """Neighbours in a piece of which one is in ``chars`` and the other neither that nor a
+    word mark: (the one in ``chars``, the other)."""
+    for piece in pieces:
+        for a, b in zip(piece, piece[1:], strict=False):
+            if MARK not in (a, b) and (a in chars) != (b in chars):
+                yield (a, b) if a in chars else (b, a)
+
+
+def _apart(pieces: Sequence[str]) -> str:
+    """Punctuation, and what pieces join to it, that no piece joins to anything else: a path
+    never crosses from one to the other. Empty if the pieces keep nothing apart."""
+    chars = set(string.punctuation)
+    chars -= {one for one, other in _crossings(pieces, chars) if other.isalpha()}
+    chars |= {other for _, other in _crossings(pieces, chars)}
+    return "".join(sorted(chars)) if not any(_crossings(pieces, chars)) else ""
+
+
+class _Parts(Recent):
+    """The encoded parts of texts met lately."""
+
+    def __init__(self, codec: Codec):
+        super().__init__(KNOWN_PARTS)
+        self.codec = codec
+
+    def __missing__(self, part: str) -> tuple[bytes, float]:
+        found = super().__missing__(part)
+        if found is None:
+            found = self.codec._encode(part)
+            if len(part) <= KNOWN_LENGTH:
+                self.put(part, found)
+        return found
+
+
 @lru_cache(maxsize=2)
 def codec(model_path: str) -> Codec:
     return Codec(SentencePieceProcessor(model_file=model_path))

@@ -21,31 +21,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, whatever else the frame holds.
+def by_place(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """The frame with its columns renamed by place, and the new names of the given ones.
 
     Columns are found by exact name first, so neither ``Text`` beside ``text`` nor a dot in
     another column's name gets in the way.
     """
     places = [f"c{place}" for place in range(len(df.columns))]
-    at = {}
+    at, folded = {}, {}
     for place, name in zip(places, df.columns, strict=True):
         at.setdefault(name, place)
-    folded = {}
-    for name, place in at.items():
         folded.setdefault(name.lower(), place)
-    found = [at.get(name) or folded[name.lower()] for name in names]
-    return df.toDF(*places).select(
-        *[F.col(place).alias(name) for place, name in zip(found, names, strict=True)]
-    )
+    return df.toDF(*places), [at.get(name) or folded[name.lower()] for name in names]
 
 
-def unused(df: DataFrame, name: str) -> str:
-    """A column name that the frame does not have."""
-    taken = {column.lower() for column in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+def pick(df: DataFrame, *names: str) -> DataFrame:
+    """Only the named columns, whatever else the frame holds."""
+    plain, places = by_place(df, *names)
+    return plain.select(
+        *[F.col(place).alias(name) for place, name in zip(places, names, strict=True)]
+    )
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm.common import pick, ship
-from tallyline.llm.learning import copy_weights, sketch
+from tallyline.llm.learning import copy_weights, share_of, sketch
 
 BITS = 14
 WIDTH = 16
@@ -214,12 +214,13 @@ def train(documents: DataFrame, allowed: Column | None = None, sample_rows: int
     parts = F.create_map(
         *[F.lit(x) for lang in langs for x in (lang, min(1.0, sample_rows / counts[lang]))]
     ) if langs else F.create_map(F.lit(""), F.lit(0.0))
-    share = F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.lit(2**31)) / 2**31
     rows = (
-        known.where(share < parts[F.col("lang")])
+        known.where(share_of("doc_id", "text") < parts[F.col("lang")])
         .select("lang", "text")
+        .distinct()  # rows that repeat were chosen together
         .mapInPandas(_bags_of, "lang string, at binary, counts binary, sketch long")
         .toPandas()
+        .sort_values(["sketch", "lang", "at", "counts"], ignore_index=True)  # tasks end in any order
     )
     bags = [
         (np.frombuffer(a, np.int32), np.frombuffer(c, np.int32))

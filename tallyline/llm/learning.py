@@ -11,14 +11,19 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import pick
 
 
-def sample_of(rows: DataFrame, size: int, key: str = "doc_id", seed: int = 1) -> DataFrame:
-    """About ``size`` of the rows, chosen by a hash of their key alone: the same ones however
-    the table is partitioned, all of them if there are no more."""
+def share_of(*keys: str, seed: int = 1) -> Column:
+    """A number from 0 to 1 that depends on the keys alone."""
+    return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(2**31)) / 2**31
+
+
+def sample_of(rows: DataFrame, size: int, *keys: str, seed: int = 1) -> DataFrame:
+    """About ``size`` of the rows, chosen by a hash of their keys alone: the same ones however
+    the table is partitioned, all of them if there are no more. Rows with equal keys are
+    chosen together, so where those may be many the caller must make the sample distinct."""
     total = rows.count()
     if total <= size:
         return rows
-    share = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(2**31)) / 2**31
-    return rows.where(share < size / total)
+    return rows.where(share_of(*keys, seed=seed) < size / total)
 
 
 def labelled_texts(
@@ -38,7 +43,7 @@ def labelled_texts(
         .where("label = other")
         .select("doc_id", "label")
     )
-    chosen = F.broadcast(sample_of(known, size))
+    chosen = F.broadcast(sample_of(known, size, "doc_id"))
     return (
         pick(documents, "doc_id", "text")
         .join(chosen, "doc_id")

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.llm.common import kept, pick, ship, unused
+from tallyline.llm.common import by_place, kept, pick, ship
 
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
@@ -393,25 +393,25 @@ def near_duplicates(
 def without_duplicates(documents: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """The documents, all columns as they are, with one row left of each component."""
     judged = kept(near_duplicates(documents, words), "judged")
-    id_, key, times = (unused(documents, name) for name in ("_id", "_key", "_times"))
-    keyed = documents.withColumns(
-        {id_: F.col("doc_id").cast("long"), key: F.xxhash64(F.col("text"))}
+    plain, places = by_place(documents, "doc_id", "text")
+    keyed = plain.withColumns(
+        {"id": F.col(places[0]).cast("long"), "key": F.xxhash64(places[1])}
     )
 
     def matches(rows: DataFrame) -> Column:
-        return F.col(id_).eqNullSafe(rows["doc_id"]) & (F.col(key) == rows["text_key"])
+        return F.col("id").eqNullSafe(rows["doc_id"]) & (F.col("key") == rows["text_key"])
 
     dropped = judged.where(~F.col("kept")).select("doc_id", "text_key").distinct()
     repeated = (
         judged.where(F.col("kept") & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-        .groupBy("doc_id", "text_key").agg(F.count("*").alias(times)).where(F.col(times) > 1)
+        .groupBy("doc_id", "text_key").agg(F.count("*").alias("times")).where("times > 1")
         .select("doc_id", "text_key")
     )
     left = keyed.join(dropped, matches(dropped), "left_anti")
     if not repeated.isEmpty():
-        once = Window.partitionBy(id_, key).orderBy(id_)
+        once = Window.partitionBy("id", "key").orderBy("id")
         again = left.join(repeated, matches(repeated), "left_semi")
         left = left.join(repeated, matches(repeated), "left_anti").unionByName(
-            again.withColumn(times, F.row_number().over(once)).where(F.col(times) == 1).drop(times)
+            again.withColumn("time", F.row_number().over(once)).where("time = 1").drop("time")
         )
-    return left.drop(id_, key)
+    return left.drop("id", "key").toDF(*documents.columns)

@@ -9,7 +9,8 @@ found so far; a block whose bound equals it is still scored, since a tie may hav
 id. The best of each shard are then merged by rank.
 
 Queries and shards are both dealt in pieces of bounded size, and a task scores one piece of
-queries against one shard, so neither side is broadcast nor held whole.
+queries against one shard, so neither side is broadcast nor held whole. Every vector meets
+every piece of queries once; large pieces keep that traffic low.
 
 Defined cases: a vector that is null or holds a null or non-finite component takes no part,
 nor does a row without an id. Missing components of a shorter vector count as 0. Rows that
@@ -31,8 +32,11 @@ from tallyline.llm.common import kept, pick, ship
 
 SCALE = 1024
 SHARD_ROWS = 16_384
-QUERY_ROWS = 1_024
+QUERY_ROWS = 16_384
+#: Queries whose bounds a task holds at once.
+BOUND_ROWS = 1_024
 BLOCK_ROWS = 128
+LARGEST = 2**26
 #: Products of larger values would leave the range in which doubles count exactly.
 EXACT_IN_DOUBLE = 2**53
 
@@ -48,7 +52,10 @@ def integer_vectors(vectors: DataFrame) -> DataFrame:
     )
     return (
         rows.where(F.col("embedding").isNotNull() & finite)
-        .select("vec_id", F.transform(doubles, lambda x: F.floor(x * SCALE)).alias("v"))
+        .select(
+            "vec_id",
+            F.transform(doubles, lambda x: F.floor(x * SCALE).try_cast("int")).alias("v"),
+        )
         .distinct()
     )
 
@@ -88,16 +95,19 @@ def search_shard(
     lowest = np.minimum.reduceat(values, starts)
     reach = int(np.abs(values).max(initial=0)) * int(np.abs(queries).max(initial=0))
     exact = reach * max(values.shape[1], 1) < EXACT_IN_DOUBLE
-    bounds = _products(np.maximum(queries, 0), highest, exact) + _products(
-        np.minimum(queries, 0), lowest, exact
-    )
-    best_first = np.argsort(-bounds, axis=1, kind="stable")
     for q, query_id in enumerate(query_ids):
+        if q % BOUND_ROWS == 0:
+            some = queries[q : q + BOUND_ROWS]
+            bounds = _products(np.maximum(some, 0), highest, exact) + _products(
+                np.minimum(some, 0), lowest, exact
+            )
+            best_first = np.argsort(-bounds, axis=1, kind="stable")
+        bound, order = bounds[q % BOUND_ROWS], best_first[q % BOUND_ROWS]
         got_ids = np.empty(0, np.int64)
         got = np.empty(0, np.int64)
         scored = 0
-        for step, b in enumerate(best_first[q]):
-            if len(got) == k and bounds[q, b] < got[-1]:
+        for step, b in enumerate(order):
+            if len(got) == k and bound[b] < got[-1]:
                 break
             at = slice(starts[b], starts[b] + block_rows)
             scores = _products(queries[q : q + 1], values[at], exact)[0]
@@ -128,9 +138,9 @@ def top_k(
     size = rows.agg(
         F.count("*").alias("rows"), F.max(F.size("v")).alias("width"),
         F.count_distinct(F.when(is_query, F.col("vec_id"))).alias("queries"),
-        F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("largest"),
+        F.max(F.exists("v", lambda x: x.isNull() | (F.abs(x) >= LARGEST))).alias("too_large"),
     ).first()
-    if (size.largest or 0) >= 2**26:
+    if size.too_large:
         raise ValueError("a component beyond 65,536 does not allow exact scores")
     shards = -(-size.rows // shard_rows) or 1
     pieces = -(-size.queries // query_rows) or 1

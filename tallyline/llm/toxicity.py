@@ -290,15 +290,17 @@ def train(
     ``sample_rows`` + ``unlabelled_rows`` texts."""
     ship(documents.sparkSession)
     labelled = labelled_texts(documents, labels, label, allowed, sample_rows)
-    ids = labels.select(F.col("doc_id")).where("doc_id is not null").distinct()
+    ids = pick(labels, "doc_id").where("doc_id is not null").distinct()
+    others = pick(documents, "doc_id", "text").join(ids, "doc_id", "left_anti")
     unlabelled = (
-        sample_of(pick(documents, "doc_id", "text").join(ids, "doc_id", "left_anti"), unlabelled_rows, seed=2)
-        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(-1).alias("label"))
-    )
+        sample_of(others, unlabelled_rows, "doc_id", "text", seed=2)
+        .select(F.coalesce("text", F.lit("")).alias("text"))
+        .distinct()  # rows that repeat were chosen together
+        .withColumn("label", F.lit(-1))
+    )
     rows = (
-        labelled.select("doc_id", "text", F.col("label").cast("int"))
+        labelled.select("text", F.col("label").cast("int"))
         .unionByName(unlabelled)
-        .select("text", "label")
         .mapInPandas(_words_of, "label int, words string, counts binary, addressed string, sketch long")
         .toPandas()
         .sort_values(["sketch", "words"], ignore_index=True)

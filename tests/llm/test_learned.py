@@ -244,7 +244,7 @@ def test_dual_coordinate_descent_separates():
 
 def test_sample_does_not_depend_on_partitions(spark):
     rows = spark.range(20_000).withColumnRenamed("id", "doc_id")
-    few = learning.sample_of(rows.repartition(3), 1000)
-    many = learning.sample_of(rows.repartition(50), 1000)
+    few = learning.sample_of(rows.repartition(3), 1000, "doc_id")
+    many = learning.sample_of(rows.repartition(50), 1000, "doc_id")
     assert rows_of(few, "doc_id") == rows_of(many, "doc_id")
     assert 850 < few.count() < 1150

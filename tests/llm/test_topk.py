@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from llm_frames import rows_of
 
 from tallyline.llm import topk
@@ -58,3 +59,18 @@ def test_blocks_are_skipped():
     )
     assert scored < 4096 / topk.BLOCK_ROWS / 2
     assert ids.tolist() == [*range(10)] and set(scores) == {3_000_000}
+
+
+def test_too_large_components_are_refused(spark):
+    for value in (65_536.0, -1e30):
+        with pytest.raises(ValueError, match="exact"):
+            topk.top_k(vectors(spark, [(0, [1.0]), (1, [value])]))
+
+
+def test_bounds_hold_over_many_queries(monkeypatch):
+    draw = np.random.default_rng(0)
+    values = draw.integers(-50, 50, (600, 5))
+    whole = [(q, ids.tolist(), scores.tolist()) for q, ids, scores, _ in topk.search_shard(np.arange(90), values[:90], np.arange(600), values, 4)]
+    monkeypatch.setattr(topk, "BOUND_ROWS", 7)
+    parts = [(q, ids.tolist(), scores.tolist()) for q, ids, scores, _ in topk.search_shard(np.arange(90), values[:90], np.arange(600), values, 4)]
+    assert whole == parts

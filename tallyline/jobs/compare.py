@@ -70,7 +70,12 @@ def shuffle_bytes(spark: SparkSession, after: int, patience: float = 5.0) -> tup
     """
     deadline = time.monotonic() + patience
     while True:
-        stages = [stage for stage in _stages(spark) if stage.stageId() > after]
+        remembered = _stages(spark)
+        if after >= 0 and all(stage.stageId() > after for stage in remembered):
+            raise RuntimeError(
+                "the session has forgotten stages; raise spark.ui.retainedStages"
+            )
+        stages = [stage for stage in remembered if stage.stageId() > after]
         running = any(stage.status().toString() == "ACTIVE" for stage in stages)
         if not running or time.monotonic() > deadline:
             break

@@ -42,8 +42,8 @@ LEXICONS = {
 }
 
 #: Most labelled rows, and most unlabelled ones, that are fitted on.
-SAMPLE_ROWS = 8_000
-UNLABELLED_ROWS = 2_000
+SAMPLE_ROWS = 5_000
+UNLABELLED_ROWS = 1_000
 INDUCED_GROUPS = 8
 INDUCED_WORDS = 400
 #: Words that the classifier weighs beside the votes.

@@ -280,14 +280,19 @@ def _deltas(families: DataFrame, sets: DataFrame) -> DataFrame:
     18 |x & z| >= 8 (|x| + |z|), reads 18 s >= -(closeness of x + closeness of z) with
     closeness = 18 |x & c| - 8 |x| - 9 |c|.
     """
-    members = families.join(sets, "node")
-    size = families.groupBy("hub").agg(F.count("*").alias("size"))
-    consensus = (  # at most twice as long as the family's mean set
-        members.select("hub", F.explode("hashes").alias("element"))
-        .groupBy("hub", "element").agg(F.count("*").alias("times"))
-        .join(size, "hub").where("2 * times > size")
-        .groupBy("hub").agg(F.array_sort(F.collect_list("element")).alias("consensus"))
-    )
+    # What is joined by hub is written first: of two written tables adaptive execution splits
+    # a hot family, of an aggregate it would not.
+    size = kept(families.groupBy("hub").agg(F.count("*").alias("size")), "sizes")
+    members = families.join(size, "hub").join(sets, "node")
+    consensus = (
+        members.select("hub", "size", F.explode("hashes").alias("element"))
+        .groupBy("hub", "element")
+        .agg(F.count("*").alias("times"), F.first("size").alias("size"))
+        .where("2 * times > size")  # at most twice as many as the family's mean set has
+        .groupBy("hub")
+        .agg(F.array_sort(F.collect_list("element")).alias("consensus"))
+    )
+    consensus = kept(consensus, "consensus")
 
     def deltas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -319,7 +324,7 @@ def _candidates(deltas: DataFrame, tops: DataFrame, roots: DataFrame) -> DataFra
     elements = _rooted(deltas, roots).select(
         "hub", "node", "root", "closeness", F.size("delta").alias("size"), F.explode("delta").alias("element")
     )
-    times = elements.groupBy("hub", "element").agg(F.count("*").alias("times"))
+    times = kept(elements.groupBy("hub", "element").agg(F.count("*").alias("times")), "times")
     by_rarity = Window.partitionBy("hub", "node").orderBy("times", "element")
     placed = (
         elements.join(times, ["hub", "element"])

@@ -33,8 +33,10 @@ BITS = 14
 WIDTH = 16
 #: Most labelled rows that are fitted on, for each language.
 SAMPLE_ROWS = 800
-#: Largest share of right predictions that the threshold may reject.
+#: The threshold is this part of the certainty that all right predictions but a share reach:
+#: short and mixed texts in a known language are uncertain too, and are to be kept.
 REJECT_SHARE = 0.001
+REJECT_MARGIN = 0.5
 UNKNOWN = "und"
 PIECE = 1 << 20
 
@@ -183,7 +185,7 @@ def _calibrate(model: Model, rows, label: np.ndarray, judged: np.ndarray, reject
     p = softmax(logits / model.temperature)
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == truth])
     if len(right):
-        model.threshold = float(right[int(reject_share * len(right))]) * 0.75
+        model.threshold = float(right[int(reject_share * len(right))]) * REJECT_MARGIN
     model.threshold = max(model.threshold, 1.0 / len(model.langs))
 
 

@@ -64,12 +64,18 @@ BATCH = {
 }
 
 
+def _number(setting: str) -> int:
+    """A count or a size in bytes, as Spark writes them (``10000``, ``64m``, ``67108864b``)."""
+    digits = setting.lower().removesuffix("b").rstrip("kmgt")
+    unit = setting.lower().removesuffix("b")[len(digits) :]
+    return int(digits) << 10 * " kmgt".index(unit or " ")
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send the package to the Python workers, once for each application, and see that the
     session hands them batches of bounded size (a smaller setting is left as it is)."""
     for name, most in BATCH.items():
-        now = int(spark.conf.get(name).rstrip("b"))
-        if not 0 < now <= most:
+        if not 0 < _number(spark.conf.get(name, str(most + 1))) <= most:
             spark.conf.set(name, str(most))
     context = spark.sparkContext
     if context.applicationId not in _shipped:

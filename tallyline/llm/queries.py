@@ -191,4 +191,36 @@ ORACLE: dict[str, str] = {
         FROM scored
         QUALIFY rank <= 10
     """,
+    "op5_minhash_dedup": r"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, list_filter(
+                regexp_split_to_array(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x20\x09-\x0D]+'),
+                lambda w: w <> '') AS words
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_distinct(list_transform(
+                range(1, greatest(len(words) - 3, 1) + 1),
+                lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles
+            FROM texts
+        ), elements AS (
+            SELECT doc_id, len(shingles) AS size, unnest(shingles) AS shingle FROM sets
+        ), links AS (
+            SELECT a.doc_id AS one, b.doc_id AS other
+            FROM elements a JOIN elements b USING (shingle)
+            WHERE a.doc_id <> b.doc_id AND 100 * least(a.size, b.size) >= 80 * greatest(a.size, b.size)
+            GROUP BY ALL
+            HAVING 100 * count(*) >= 80 * (any_value(a.size) + any_value(b.size) - count(*))
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM sets
+            UNION
+            SELECT reached.doc_id, links.other FROM reached JOIN links ON reached.other = links.one
+        ), components AS (
+            SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id,
+            doc_id = component_id AS kept
+        FROM sets JOIN components USING (doc_id)
+    """,
 }

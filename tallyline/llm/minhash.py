@@ -23,7 +23,8 @@ How it stays linear in a group of copies:
 Nothing is capped: after this every two classes that share a bucket are in one component, or
 have been compared, or cannot be similar.
 
-At a similarity of exactly 0.8, 32 bands of 4 values miss a pair with a chance of 5e-8.
+At a similarity of exactly 0.8, 32 bands of 4 values miss a pair with a chance of 5e-8, and
+of 6e-7 if the sets have no more than five elements.
 
 Defined cases: letters A-Z are lower-cased and words are runs without ASCII white space; a
 text of fewer words than a shingle is one shingle; a null text or one without words has an

@@ -1,10 +1,10 @@
 """Quality classifier: naive Bayes support vectors.
 
-The features of a text are indicators of n-grams: its words, the shapes of its words (letters
-by case, digits, other characters, runs collapsed) as 1-, 2- and 3-grams, where a word that
-follows itself has a shape of its own. Indicators are scaled by the log-count ratios of the two classes; a linear
-model is fitted on them under the hinge loss by dual coordinate descent, and its margins are
-turned into probabilities on rows that the fit has not seen.
+The features of a text are indicators of n-grams: its words, and the shapes of its words
+(letters by case, digits, other characters, runs collapsed) as 1-, 2- and 3-grams, where a
+word that follows itself has a shape of its own. Indicators are scaled by the log-count ratios
+of the two classes; a linear model is fitted on them under the hinge loss by dual coordinate
+descent, and its margins are turned into probabilities on rows that the fit has not seen.
 
 Defined cases: a null or empty text has no n-gram and gets the score of the bias; whole texts
 are read whatever their length; repeated rows are scored one by one; with no labelled rows,

@@ -378,12 +378,13 @@ def near_duplicates(
     sketched = kept(sketches(documents, words, bands), "sketches")
     nodes = kept(_classes(sketched), "classes")
     roots = _components_of_sets(nodes, documents, words)
-    named = (
+    named = kept(
         nodes.select("node", "fingerprint", "first_doc")
         .join(roots, "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
+        .withColumn("root", F.coalesce("root", "node")),
+        "named",
     )
-    names = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
+    names = kept(named.groupBy("root").agg(F.min("first_doc").alias("component_id")), "names")
     of_set = named.join(names, "root").select("fingerprint", "component_id")
     return (
         sketched.select("doc_id", "text_key", "n_shingles", "fingerprint")

@@ -234,9 +234,14 @@ def _downward(edges: DataFrame) -> DataFrame:
 
 
 def _meetings(nodes: DataFrame) -> DataFrame:
-    """``node`` and ``key`` of all buckets with more than one node, and each bucket's ``hub``."""
+    """``node`` and ``key`` of all buckets with more than one node, and each bucket's ``hub``.
+
+    What is joined by key or hub is written first: of two written tables adaptive execution
+    splits a hot bucket, of an aggregate it would not.
+    """
     buckets = nodes.select("node", F.explode("bands").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count("*").alias("nodes")).where("nodes > 1")
+    sizes = kept(sizes, "sizes")
     met = kept(buckets.join(sizes, "key"), "buckets")
     score = met.groupBy("node").agg(F.sum("nodes").alias("score"))
     hubs = (
@@ -244,7 +249,7 @@ def _meetings(nodes: DataFrame) -> DataFrame:
         .groupBy("key")
         .agg(F.max(F.struct("score", "node")).getField("node").alias("hub"))
     )
-    return met.join(hubs, "key")
+    return met.join(kept(hubs, "hubs"), "key")
 
 
 def _pair(rows: DataFrame, one: str, other: str) -> DataFrame:
@@ -267,7 +272,7 @@ def _families(met: DataFrame, roots: DataFrame) -> DataFrame:
         .where("low < high and nodes > 2")
         .select("key")
     )
-    return met.join(open_keys, "key").select("hub", "node").distinct()
+    return met.join(kept(open_keys, "open"), "key").select("hub", "node").distinct()
 
 
 DELTA = "hub long, node long, closeness long, delta array<long>"
@@ -281,8 +286,6 @@ def _deltas(families: DataFrame, sets: DataFrame) -> DataFrame:
     18 |x & z| >= 8 (|x| + |z|), reads 18 s >= -(closeness of x + closeness of z) with
     closeness = 18 |x & c| - 8 |x| - 9 |c|.
     """
-    # What is joined by hub is written first: of two written tables adaptive execution splits
-    # a hot family, of an aggregate it would not.
     size = kept(families.groupBy("hub").agg(F.count("*").alias("size")), "sizes")
     members = families.join(size, "hub").join(sets, "node")
     consensus = (

@@ -8,8 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chat, langid, minhash, nbsvm, packing, pieces, quality, topk, toxicity, urls
-from tallyline.llm.common import pick, remainder, table
+from tallyline.llm import (
+    chat,
+    langid,
+    minhash,
+    mixing,
+    nbsvm,
+    packing,
+    pieces,
+    quality,
+    topk,
+    toxicity,
+    urls,
+)
+from tallyline.llm.common import kept, pick, remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +109,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out(3, 1), "score", "predicted")
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kept(mixing.measured(table(spark, sf_dir, "documents")), "measured")
+    mixed = mixing.mix(rows)
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -110,6 +129,7 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_exact_top_k,
         op10_quality_classifier,
+        op11_source_mixing,
     )
 }
 
@@ -223,4 +243,86 @@ ORACLE: dict[str, str] = {
             doc_id = component_id AS kept
         FROM sets JOIN components USING (doc_id)
     """,
+    "op11_source_mixing": rf"""
+        WITH RECURSIVE sized AS (
+            SELECT doc_id, source,
+                CAST(len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}')) AS BIGINT) AS size,
+                CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|'
+                    || coalesce(text, '')), 1, 15) AS BIGINT) AS hash
+            FROM documents
+        ), sizes AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                list_value({", ".join(map(str, mixing.WEIGHTS))})[
+                    (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1] AS weight
+            FROM sized GROUP BY source
+        ), levels AS (
+            SELECT *, row_number() OVER w AS turn,
+                {mixing.SHARE_PERCENT} * sum(source_size) OVER ()
+                    - {100 * mixing.MOST} * coalesce(sum(source_size) OVER (w ROWS BETWEEN
+                        UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS free,
+                sum(weight) OVER () - coalesce(sum(weight) OVER (w ROWS BETWEEN
+                    UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sharing
+            FROM sizes
+            WINDOW w AS (ORDER BY source_size * 1.0 / weight, source NULLS LAST)
+        ), judged AS (
+            SELECT *, {100 * mixing.MOST} * source_size * sharing <= weight * free AS is_full
+            FROM levels
+        ), level AS (
+            SELECT free, sharing FROM judged WHERE NOT is_full ORDER BY turn LIMIT 1
+        ), targets AS (
+            SELECT source, source_size,
+                CASE WHEN is_full THEN CAST({mixing.MOST} * source_size AS DOUBLE)
+                    ELSE CAST(weight * level.free AS DOUBLE)
+                        / CAST(100 * level.sharing AS DOUBLE) END AS target,
+                CASE WHEN is_full THEN {mixing.MOST} * source_size
+                    ELSE weight * level.free // (100 * level.sharing) END AS words,
+                CASE WHEN source_size = 0 THEN 0 ELSE words // source_size END AS whole,
+                CASE WHEN source_size = 0 THEN 0 ELSE words % source_size END AS budget
+            FROM judged LEFT JOIN level ON true
+        ), ordered AS (
+            SELECT s.*, t.source_size, t.target, t.whole, t.budget,
+                sum(s.size) OVER (PARTITION BY s.source ORDER BY s.hash) AS upto
+            FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+        ), points AS (
+            SELECT source, min(hash) AS point FROM ordered
+            WHERE budget > 0 AND upto > budget GROUP BY source
+        ), depths AS (
+            SELECT s.source, point, depth
+            FROM sized s JOIN points p ON s.source IS NOT DISTINCT FROM p.source
+            CROSS JOIN range({mixing.LEVELS + 1}) AS d(depth)
+            WHERE s.hash >> ({mixing.HASH_BITS} - {mixing.LEVEL_BITS} * depth)
+                = point >> ({mixing.HASH_BITS} - {mixing.LEVEL_BITS} * depth)
+            GROUP BY s.source, point, depth
+            HAVING count(*) <= {mixing.BUCKET_ROWS} OR depth = {mixing.LEVELS}
+        ), buckets AS (
+            SELECT source, {mixing.HASH_BITS} - {mixing.LEVEL_BITS} * min(depth) AS bits,
+                any_value(point) >> ({mixing.HASH_BITS} - {mixing.LEVEL_BITS} * min(depth)) AS bucket
+            FROM depths GROUP BY source
+        ), placed AS (
+            SELECT o.*, sign(coalesce((hash >> bits) - bucket, 1)) AS side
+            FROM ordered o LEFT JOIN buckets b ON o.source IS NOT DISTINCT FROM b.source
+        ), ties AS (
+            SELECT source, hash, size, count(*) AS n,
+                row_number() OVER (PARTITION BY source ORDER BY hash, size) AS turn
+            FROM placed WHERE side = 0 GROUP BY source, hash, size
+        ), filled AS (
+            SELECT source, CAST(0 AS BIGINT) AS turn, CAST(NULL AS BIGINT) AS hash,
+                CAST(NULL AS BIGINT) AS size, CAST(0 AS HUGEINT) AS taken,
+                CAST(any_value(budget) - coalesce(sum(size) FILTER (side < 0), 0) AS HUGEINT) AS free
+            FROM placed GROUP BY source
+            UNION ALL
+            SELECT t.source, t.turn, t.hash, t.size,
+                CASE WHEN t.size = 0 THEN t.n ELSE least(t.n, f.free // t.size) END,
+                f.free - CASE WHEN t.size = 0 THEN 0 ELSE t.size * least(t.n, f.free // t.size) END
+            FROM filled f JOIN ties t
+            ON f.source IS NOT DISTINCT FROM t.source AND t.turn = f.turn + 1
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY source, hash, size) AS number FROM placed
+        )
+        SELECT p.doc_id, p.size, p.source_size, p.target,
+            CAST(p.size * (p.whole + CASE WHEN side < 0 THEN 1
+                WHEN side = 0 AND number <= f.taken THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        FROM numbered p LEFT JOIN filled f
+        ON p.source IS NOT DISTINCT FROM f.source AND p.hash = f.hash AND p.size = f.size
+    """,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import (
     chat,
+    divergence,
     langid,
     minhash,
     mixing,
@@ -116,6 +117,10 @@ def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -130,6 +135,7 @@ QUERIES: dict[str, Query] = {
         op9_exact_top_k,
         op10_quality_classifier,
         op11_source_mixing,
+        op12_source_divergence,
     )
 }
 
@@ -325,4 +331,53 @@ ORACLE: dict[str, str] = {
         FROM numbered p LEFT JOIN filled f
         ON p.source IS NOT DISTINCT FROM f.source AND p.hash = f.hash AND p.size = f.size
     """,
+    "op12_source_divergence": rf"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang,
+                coalesce(source, '') AS source,
+                regexp_extract_all(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '{divergence.TERM}') AS words
+            FROM documents
+        ), words AS (
+            SELECT doc, lang, source, unnest(words) AS term FROM docs
+        ), kept AS (
+            SELECT lang, term, count(*) AS count FROM words GROUP BY lang, term
+            HAVING count(DISTINCT doc) >= {divergence.MIN_DOCUMENTS}
+        ), langs AS (
+            SELECT lang, count(*) AS v, sum(count) AS n FROM kept GROUP BY lang
+        ), counts AS (
+            SELECT lang, source, term, count(*) AS count
+            FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+        ), sums AS (
+            SELECT lang, source, sum(count) AS n FROM counts GROUP BY lang, source
+        ), groups AS (
+            SELECT g.lang, g.source, coalesce(s.n, 0) AS n, coalesce(l.v, 0) AS v
+            FROM (SELECT DISTINCT lang, source FROM docs) g
+            LEFT JOIN sums s USING (lang, source) LEFT JOIN langs l USING (lang)
+        ), shares AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.count, 0) AS count,
+                1 + CAST({divergence.SCALE} AS HUGEINT) * (coalesce(c.count, 0) + 1) // (g.n + g.v) AS p,
+                1 + CAST({divergence.SCALE} AS HUGEINT) * (k.count + 1) // (l.n + l.v) AS q
+            FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+            LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        ), pair AS (
+            SELECT a.lang, a.source, b.source AS item,
+                CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+            FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source
+            GROUP BY ALL
+        ), pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pair p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+        ), terms AS (
+            SELECT lang, source, 'term' AS part, term AS item,
+                CAST((p - q) * (p - q) // q AS BIGINT) AS value
+            FROM shares WHERE count > 0 AND p > q
+        )
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part
+            ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM (FROM pairs UNION ALL FROM terms)
+        QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}
+    """,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import (
     chat,
+    collocations,
     divergence,
     langid,
     minhash,
@@ -121,6 +122,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -136,6 +141,7 @@ QUERIES: dict[str, Query] = {
         op10_quality_classifier,
         op11_source_mixing,
         op12_source_divergence,
+        op13_phrase_collocations,
     )
 }
 
@@ -380,4 +386,51 @@ ORACLE: dict[str, str] = {
         FROM (FROM pairs UNION ALL FROM terms)
         QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}
     """,
+    "op13_phrase_collocations": rf"""
+        WITH pieces AS (
+            SELECT coalesce(lang, '{collocations.UNKNOWN}') AS lang,
+                unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), runs AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+        ), spots AS (
+            SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM runs
+        ), phrases AS (
+            SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+            FROM spots CROSS JOIN range(1, {collocations.MOST_WORDS + 1}) AS r(k)
+            WHERE i + k - 1 <= len(words)
+        ), counts AS (
+            SELECT lang, k, phrase, count(*) AS f FROM phrases GROUP BY ALL
+        ), totals AS (
+            SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang
+        ), frequent AS (
+            SELECT *, string_split(phrase, ' ') AS words FROM counts
+            WHERE f >= {collocations.MIN_COUNT}
+        ), cuts AS (
+            SELECT lang, phrase, f AS a, unnest(range(1, k)) AS cut, words FROM frequent WHERE k > 1
+        ), scored AS (
+            SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r,
+                CAST(CAST({collocations.SCALE} AS HUGEINT) * c.a * c.a
+                    // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM cuts c
+            JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(words[:cut], ' ')
+            JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(words[cut + 1:], ' ')
+        ), worst AS (
+            FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+        ), covers AS (
+            SELECT lang, array_to_string(words[i:i + n - 1], ' ') AS phrase, max(f) AS cover
+            FROM frequent, range(2, {collocations.MOST_WORDS}) AS r(n),
+                range(1, {collocations.MOST_WORDS}) AS s(i)
+            WHERE n < k AND i + n - 1 <= k
+            GROUP BY ALL
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+            phrase, a, l, r, n, score
+        FROM worst LEFT JOIN covers USING (lang, phrase) JOIN totals USING (lang)
+        WHERE coalesce(100 * cover < {collocations.COVERED_PERCENT} * a, true)
+        QUALIFY rank <= {collocations.BEST}
+    """,
 }

@@ -19,7 +19,6 @@ table or one without candidates gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
@@ -32,9 +31,11 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from tallyline.llm.common import Recent, kept, pick, ship
 from tallyline.operators.joins import broadcast_if_small
 
-_PIECE = re.compile(r"[^.,;:!?\x0A-\x0D]+")
-_WORD = re.compile(r"[^\x20\x09]+")
-_LOWER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
+#: On UTF-8 bytes: capitals become small, what ends a piece becomes a line break, a tab a blank.
+_ENDS = b".,;:!?\n\x0b\x0c\r"
+_MARKED = bytes(
+    10 if c in _ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256)
+)
 
 #: Fixed values of the contract.
 MIN_COUNT = 10
@@ -58,10 +59,10 @@ REMEMBERED = 200_000
 FREQUENT_BYTES = 16 * 1024 * 1024
 
 _CHUNKS = pa.schema(
-    [("lang", pa.string()), ("closed", pa.bool_()), ("chunk", pa.string()), ("freq", pa.int64())]
+    [("lang", pa.string()), ("closed", pa.bool_()), ("chunk", pa.binary()), ("freq", pa.int64())]
 )
 _PHRASES = pa.schema(
-    [("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("freq", pa.int64())]
+    [("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.binary()), ("freq", pa.int64())]
 )
 
 
@@ -71,27 +72,26 @@ class _Cutter:
     def __init__(self) -> None:
         self.hashes = Recent(REMEMBERED)
 
-    def _hash(self, word: str) -> int:
+    def _hash(self, word: bytes) -> int:
         known = self.hashes[word]
         if known is None:
             # At least 1, so that it is not taken for a word that is not remembered.
-            known = 1 + crc32(word.encode("utf-8", "surrogatepass"))
+            known = 1 + crc32(word)
             self.hashes.put(word, known)
         return known
 
-    def chunks(self, words: list[str]) -> Iterator[tuple[bool, str]]:
+    def chunks(self, words: list[bytes]) -> Iterator[tuple[bool, bytes]]:
         """(closed, chunk): a closed chunk ends with words that open the next one."""
         overlap = MOST_WORDS - 1
         if len(words) > overlap:
-            hashes = [self._hash(word) for word in words]
+            hashes = list(map(self._hash, words))
             start = 0
             for at in range(1, len(words) - overlap):
-                pair = hashes[at] * 31 + hashes[at + 1]
-                if not pair % MODULUS or at - start >= LONGEST:
-                    yield True, " ".join(words[start : at + overlap])
+                if not (hashes[at] * 31 + hashes[at + 1]) % MODULUS or at - start >= LONGEST:
+                    yield True, b" ".join(words[start : at + overlap])
                     start = at
             words = words[start:]
-        yield False, " ".join(words)
+        yield False, b" ".join(words)
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,8 +100,8 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True)
         for lang, text in texts:
-            for piece in _PIECE.findall(text.translate(_LOWER)):
-                words = _WORD.findall(piece)
+            for piece in text.translate(_MARKED).split(b"\n"):
+                words = piece.split()
                 if words:
                     held.update([(lang, *chunk) for chunk in cutter.chunks(words)])
             if len(held) > HELD:
@@ -127,7 +127,7 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = (batch.column(name).to_pylist() for name in ("lang", "closed", "chunk", "freq"))
         for lang, closed, chunk, freq in zip(*columns, strict=True):
-            words = chunk.split(" ")
+            words = chunk.split(b" ")
             starts = len(words) - (MOST_WORDS - 1 if closed else 0)
             phrases = words
             for length in range(1, MOST_WORDS + 1):
@@ -136,7 +136,10 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for phrase in phrases[:starts]:
                     counts[phrase] = counts.get(phrase, 0) + freq
                 size += len(counts)
-                phrases = [f"{head} {word}" for head, word in zip(phrases, words[length:], strict=False)]
+                phrases = [
+                    b"%b %b" % (head, word)
+                    for head, word in zip(phrases, words[length:], strict=False)
+                ]
             if size > HELD:
                 yield from _summed(held)
                 held, size = {}, 0
@@ -152,7 +155,8 @@ def dictionary(documents: DataFrame) -> DataFrame:
     """lang, closed, chunk, freq: the distinct chunks of the parse."""
     ship(documents.sparkSession)
     texts = pick(documents, "lang", "text").select(
-        F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
+        F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"),
+        F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
     return (
         texts.mapInArrow(_parsed, from_arrow_schema(_CHUNKS))
@@ -165,6 +169,7 @@ def phrase_counts(chunks: DataFrame) -> DataFrame:
     """lang, words, phrase, freq of all phrases of up to ``MOST_WORDS`` words."""
     return (
         chunks.mapInArrow(_phrases, from_arrow_schema(_PHRASES))
+        .withColumn("phrase", F.col("phrase").cast("string"))
         .groupBy("lang", "words", "phrase")
         .agg(F.sum("freq").alias("freq"))
     )
@@ -260,7 +265,7 @@ def collocations(documents: DataFrame, min_count: int = MIN_COUNT, rows: int = B
     chunks = kept(dictionary(documents), "chunks")
     frequent = phrase_counts(chunks).where(F.col("freq") >= min_count)
     found = kept(candidates(kept(frequent, "frequent")), "candidates")
-    inside = F.expr(f"size(split(chunk, ' ')) - IF(closed, {MOST_WORDS - 1}, 0)")
+    inside = F.expr(f"size(split(CAST(chunk AS STRING), ' ')) - IF(closed, {MOST_WORDS - 1}, 0)")
     words = chunks.groupBy(F.col("lang").alias("l_")).agg(F.sum(F.col("freq") * inside).alias("n"))
     (words,) = broadcast_if_small(words, limit=FREQUENT_BYTES)
     return (

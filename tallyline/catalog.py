@@ -17,8 +17,9 @@ from tallyline.functions.text import tidy_name
 from tallyline.generate import ids, keyed, states
 from tallyline.generate import star as generated
 from tallyline.operators import cleaning, joins, layout
-from tallyline.plans import gold, modes, reports, views
+from tallyline.plans import gold, incremental, modes, reports, views
 from tallyline.plans import silver as clean
+from tallyline.sinks.publish import replace_units
 from tallyline.sinks.scratch import fresh_path
 from tallyline.sinks.tables import (
     read_partitioned,
@@ -27,6 +28,7 @@ from tallyline.sinks.tables import (
     write_table,
 )
 from tallyline.sources import delimited, tables, trade
+from tallyline.sources.tables import Star
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -708,3 +710,87 @@ def sink_file_count(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("rows"))
         .agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("row_count"))
     )
+
+
+@query
+def sink_month_replaced(spark, sf_dir):
+    """One month of the stored clean sales is computed anew and put in the place of the old one:
+    sales of one region were cancelled, all others got one unit more."""
+    rows = _silver(spark, sf_dir)
+    path = fresh_path(spark, "silver_orders")
+    write_table(rows, path, partition_by=SILVER_FOLDERS, dry_run=False)
+    month = read_partitioned(spark, path, rows.schema, SILVER_FOLDERS).where("yyyymm = '199701'")
+    corrected = (
+        month.where("region IS NULL OR region <> 'ASIA'")
+        .withColumn("quantity", F.col("quantity") + 1)
+        .withColumn("total_amount", line_amount())
+    )
+    replace_units(corrected, path, SILVER_FOLDERS, only=[("199701",)])
+    stored = read_partitioned(spark, path, rows.schema, SILVER_FOLDERS)
+    return doubles(stored.select(*clean.SILVER_COLUMNS), "base_price", "unit_price", "total_amount")
+
+
+# Late data: a first load, then a batch with new transactions and corrections of old ones
+
+#: When the second batch begins.
+LATE = "2001-01-01"
+
+
+def _loads(spark, sf_dir):
+    """The star of the first load and that of the late batch. The batch brings what was sold since
+    ``LATE``, and for the largest sales of one channel, of whatever time, copies that are a day
+    older and so take the place of those already there."""
+    star = trade.star(spark, sf_dir)
+    is_late = F.col("txn_ts") >= F.lit(LATE).cast("timestamp_ntz")
+    corrected = star.txns.where("quantity = 50 AND channel = 'N'").withColumns(
+        {"txn_ts": F.expr("txn_ts - INTERVAL 1 DAY"), "quantity": F.lit(5)}
+    )
+    first = star.txns.where(~is_late | is_late.isNull())
+    late = star.txns.where(is_late).unionByName(corrected)
+    return (
+        Star(first, star.customers, star.products),
+        Star(late, star.customers, star.products),
+    )
+
+
+@query
+def silver_upsert(spark, sf_dir):
+    """Clean sales after a late batch: the same as one run over all rows."""
+    first, late = _loads(spark, sf_dir)
+    path = fresh_path(spark, "silver_orders")
+    schema = incremental.store_silver(first, path)
+    incremental.upsert_silver(late, path)
+    stored = incremental.stored_silver(spark, path, schema)
+    return doubles(stored, "base_price", "unit_price", "total_amount")
+
+
+def _maintained(spark, sf_dir, sums):
+    """The stored sums after the late batch, kept up to date from its changes."""
+    first, late = _loads(spark, sf_dir)
+    sales_path, path = fresh_path(spark, "silver_orders"), fresh_path(spark, "sums")
+    schema = incremental.store_silver(first, sales_path)
+    state = sums.store(incremental.stored_silver(spark, sales_path, schema), path)
+    sums.apply(incremental.upsert_silver(late, sales_path), path)
+    return sums.read(spark, path, state)
+
+
+@query
+def gold_incremental(spark, sf_dir):
+    """Monthly revenue by region and category, maintained."""
+    state = _maintained(spark, sf_dir, incremental.REGION_CATEGORY)
+    return doubles(
+        state.select(
+            "yyyymm", "region", "category",
+            F.col("total_amount").alias("revenue"), F.col("quantity").alias("units"),
+        ),
+        "revenue",
+    )
+
+
+@query
+def top_customers_incremental(spark, sf_dir):
+    """Best customers of each region from maintained sums."""
+    sums = incremental.CUSTOMERS
+    spend = sums.added_up(_maintained(spark, sf_dir, sums), "region", "customer_id")
+    spend = spend.select("region", "customer_id", F.col("total_amount").alias("total_spent"))
+    return doubles(gold.top_spenders(spend), "total_spent")

@@ -63,6 +63,18 @@ STAR = f"WITH {TXNS}, {CUSTOMERS}, {PRODUCTS}"
 WITH_ENRICHED = f"{STAR}, {ENRICHED}"
 WITH_SILVER = f"{STAR}, {ENRICHED}, {SILVER}"
 
+#: Clean sales over the transactions and the corrections that come with the late batch.
+BOTH_LOADS = """
+both_loads AS (
+  SELECT * FROM txns
+  UNION ALL
+  SELECT txn_id, txn_ts - INTERVAL 1 DAY, customer_id, product_id, 5, channel
+  FROM txns WHERE quantity = 50 AND channel = 'N'
+)"""
+WITH_BOTH_LOADS = (
+    f"{STAR}, {BOTH_LOADS}, {ENRICHED.replace('FROM txns t', 'FROM both_loads t')}, {SILVER}"
+)
+
 SILVER_ROWS = """
 SELECT txn_id, txn_ts, customer_id, product_id, quantity, channel, region, gender, category,
        subcategory, product_name, CAST(base_price AS DOUBLE) AS base_price,
@@ -463,4 +475,16 @@ ORACLE: dict[str, str] = {
     "sink_file_count": f"""WITH {TXNS}
         SELECT CAST(greatest(16, ceil(COUNT(*) / 1000000)) AS BIGINT) AS files,
                COUNT(*) AS row_count FROM txns""",
+    "sink_month_replaced": f"""{WITH_SILVER}, corrected AS (
+        SELECT * FROM silver WHERE yyyymm IS DISTINCT FROM '199701'
+        UNION ALL
+        SELECT * REPLACE (quantity + 1 AS quantity,
+            CAST(unit_price * (quantity + 1) AS DECIMAL(18,2)) AS total_amount)
+        FROM silver WHERE yyyymm = '199701' AND region IS DISTINCT FROM 'ASIA')
+        {SILVER_ROWS.replace("FROM silver", "FROM corrected")}""",
+    "silver_upsert": f"{WITH_BOTH_LOADS} {SILVER_ROWS}",
+    "gold_incremental": MONTHLY_REGION_CATEGORY.replace(WITH_SILVER, WITH_BOTH_LOADS),
+    "top_customers_incremental": top_customers("dense_rank", 10).replace(
+        WITH_SILVER, WITH_BOTH_LOADS
+    ),
 }

@@ -487,4 +487,9 @@ ORACLE: dict[str, str] = {
     "top_customers_incremental": top_customers("dense_rank", 10).replace(
         WITH_SILVER, WITH_BOTH_LOADS
     ),
+    "join_bucketed": f"WITH {TXNS} SELECT {TXN_COLUMNS} FROM txns",
+    "scan_clustered": f"""WITH {TXNS}
+        SELECT {TXN_COLUMNS}, CAST(txn_ts AS DATE) AS order_date FROM txns WHERE customer_id = (
+            SELECT customer_id FROM txns GROUP BY customer_id
+            ORDER BY count(*) DESC, customer_id LIMIT 1)""",
 }

@@ -22,14 +22,24 @@ from tallyline.functions.money import price
 from tallyline.sources.tables import Star, read_table
 
 
+#: What ``transactions_of`` reads of the two fact tables.
+LINE_COLUMNS = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_tax", "l_returnflag", "l_linestatus",
+)
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    # Orders grow like the lines: both sides are shuffled, neither is ever broadcast.
-    orders = table(spark, sf_dir, "orders").hint("merge")
+    return transactions_of(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
+
+
+def transactions_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    # Orders grow like the lines: neither side is ever broadcast.
+    orders = orders.hint("merge")
     guest = F.col("o_orderpriority") == "5-LOW"
     unlisted = F.col("l_tax") == F.lit(0.08)
     returned = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")

@@ -16,8 +16,8 @@ from tallyline.functions.money import doubles, line_amount
 from tallyline.functions.text import tidy_name
 from tallyline.generate import ids, keyed, states
 from tallyline.generate import star as generated
-from tallyline.operators import cleaning, clustering, joins, layout
-from tallyline.plans import gold, incremental, modes, reports, views
+from tallyline.operators import cleaning, clustering, constraints, joins, layout, profile
+from tallyline.plans import cubes, gold, incremental, modes, reports, views
 from tallyline.plans import silver as clean
 from tallyline.sinks.buckets import store_by_key
 from tallyline.sinks.publish import replace_units
@@ -28,7 +28,7 @@ from tallyline.sinks.tables import (
     write_csv,
     write_table,
 )
-from tallyline.sources import delimited, tables, trade
+from tallyline.sources import delimited, inference, tables, trade
 from tallyline.sources.tables import Star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,9 +83,8 @@ def scan_guarded(spark, sf_dir):
     return present.select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
-@query
-def scan_csv_typed(spark, sf_dir):
-    """Text with quantities that will not cast: ``x`` is appended on one channel."""
+def _raw_csv(spark, sf_dir):
+    """Transactions as CSV, with quantities that will not cast on one channel."""
     path = fresh_path(spark, "raw_txns")
     raw = trade.transactions(spark, sf_dir).withColumn(
         "quantity",
@@ -94,6 +93,13 @@ def scan_csv_typed(spark, sf_dir):
         ),
     )
     write_csv(raw, path, dry_run=False)
+    return path
+
+
+@query
+def scan_csv_typed(spark, sf_dir):
+    """Text with quantities that will not cast: ``x`` is appended on one channel."""
+    path = _raw_csv(spark, sf_dir)
     schema = T.StructType(
         [
             T.StructField("txn_id", T.StringType()),
@@ -107,6 +113,21 @@ def scan_csv_typed(spark, sf_dir):
     return delimited.read_typed_csv(spark, path, schema)
 
 
+@query
+def scan_csv_inferred(spark, sf_dir):
+    """The type of every column of the same text, and how many values do not fit it."""
+    _, report = inference.infer_csv(spark, _raw_csv(spark, sf_dir), tolerance=0.5)
+    return report.drop("place")
+
+
+@query
+def scan_csv_inferred_rows(spark, sf_dir):
+    """The same text read with the types found."""
+    path = _raw_csv(spark, sf_dir)
+    schema, _ = inference.infer_csv(spark, path, tolerance=0.5)
+    return delimited.read_typed_csv(spark, path, schema)
+
+
 # Synthetic tables: one row for each row of the given table
 
 
@@ -836,3 +857,99 @@ def scan_clustered(spark, sf_dir):
     if busiest is None:
         return stored
     return stored.where(F.col("customer_id") == busiest.customer_id)
+
+
+# All grains at once
+
+
+@query
+def revenue_cube(spark, sf_dir):
+    return doubles(cubes.revenue_cube(_silver(spark, sf_dir)), "revenue")
+
+
+@query
+def distinct_customers_any_grain(spark, sf_dir):
+    """Customers of every grain: counted, and whether stored sketches come within their error."""
+    sales = _silver(spark, sf_dir).select(*cubes.KEYS, "customer_id")
+    path = fresh_path(spark, "customers_of_groups")
+    write_table(sales, path, dry_run=False)
+    sales = tables.read_table(spark, path, sales.schema)
+    sketch_path = fresh_path(spark, "customer_sketches")
+    write_table(cubes.customer_sketches(sales), sketch_path, dry_run=False)
+    about = cubes.distinct_customers(tables.read_table(spark, sketch_path))
+    exact = cubes.distinct_customers_exact(sales)
+    about = about.select(*[F.col(name).alias(f"_{name}") for name in about.columns])
+    same = F.lit(True)
+    for name in (*cubes.KEYS, cubes.GRAIN):
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    off = F.abs(F.col("_estimate") - F.col("customer_count"))
+    return exact.join(about, same).select(
+        *cubes.KEYS,
+        cubes.GRAIN,
+        "customer_count",
+        (off <= F.ceil(F.col("customer_count") * cubes.ERROR)).alias("sketch_is_near"),
+    )
+
+
+# Data quality over all rows
+
+
+def _near_profile(sales, found):
+    """Whether each column's sketches come within their stated errors of what counting gives."""
+    checks = []
+    for name in sales.columns:
+        values = sales.where(F.col(name).isNotNull()).groupBy(F.col(name).cast("string").alias("value"))
+        counted = values.agg(F.count(F.lit(1)).alias("rows"))
+        whole = counted.agg(
+            F.count(F.lit(1)).alias("distinct"), F.coalesce(F.sum("rows"), F.lit(0)).alias("n")
+        )
+        row = found.where(F.col("column_name") == name).crossJoin(F.broadcast(whole))
+        off = F.abs(F.col("distinct_count") - F.col("distinct"))
+        claimed = row.select("n", F.explode_outer("frequent").alias("top"))
+        wrong = claimed.join(counted, F.col("top.value") == F.col("value"), "left").agg(
+            F.coalesce(
+                F.max(
+                    F.abs(F.col("top.count") - F.coalesce("rows", F.lit(0)))
+                    > F.ceil(F.col("n") * 3.5 / profile.TRACKED)
+                ),
+                F.lit(False),
+            ).alias("wrong")
+        )
+        checks.append(
+            row.crossJoin(F.broadcast(wrong)).select(
+                "column_name",
+                "row_count",
+                "null_count",
+                (off <= F.ceil(F.col("distinct") * profile.DISTINCT_ERROR)).alias("distinct_is_near"),
+                (~F.col("wrong")).alias("frequent_is_near"),
+            )
+        )
+    return reduce(DataFrame.unionAll, checks)
+
+
+@query
+def column_profile(spark, sf_dir):
+    """Counts of NULLs by column, and whether the sketches of the same pass are as near to exact
+    counts as they claim."""
+    joined = clean.enriched(trade.star(spark, sf_dir)).drop("total_amount")
+    path = fresh_path(spark, "enriched")
+    write_table(joined, path, dry_run=False)
+    rows = tables.read_table(spark, path, joined.schema)
+    profile_path = fresh_path(spark, "profile")
+    write_table(profile.column_profile(rows), profile_path, dry_run=False)
+    return _near_profile(rows, tables.read_table(spark, profile_path))
+
+
+@query
+def quarantine_txns(spark, sf_dir):
+    """Every rule that a transaction breaks, with the number of its rows that do."""
+    star = trade.star(spark, sf_dir)
+    rules = [
+        constraints.within("positive_quantity", "quantity", low=1),
+        constraints.Check("known_time", F.col("txn_ts").isNotNull()),
+        constraints.one_of("known_channel", "channel", ["A", "N"]),
+        constraints.ForeignKey("known_customer", "customer_id", star.customers, "customer_id"),
+        constraints.ForeignKey("known_product", "product_id", star.products, "product_id"),
+        constraints.Unique("one_row"),
+    ]
+    return constraints.violations(star.txns, "txn_id", rules)

@@ -60,3 +60,12 @@ def may_have_key(
     word, mask = _word(df[key], words), _mask(df[key])
     fits = built["bits"].bitwiseAND(mask) == mask
     return df.join(built, (word == built["word"]) & fits, "left_semi")
+
+
+def held_by(df: DataFrame, built: DataFrame, key: str, words: int, flag: str) -> DataFrame:
+    """``df`` with ``flag``: whether its ``key`` may be one of the filter's."""
+    side = built.select(F.col("word").alias("_word"), F.col("bits").alias("_bits"))
+    joined = df.join(F.broadcast(side), _word(F.col(key), words) == F.col("_word"), "left")
+    mask = _mask(F.col(key))
+    fits = F.coalesce(F.col("_bits").bitwiseAND(mask) == mask, F.lit(False))
+    return joined.withColumn(flag, F.col(key).isNotNull() & fits).drop("_word", "_bits")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallyline.functions.geography import COUNTRIES
 from tallyline.generate import keyed, states
 from tallyline.generate import star as generated
+from tallyline.sources.inference import LATTICE
 
 TXNS = """
 txns AS (
@@ -279,6 +280,19 @@ SELECT id, {PERSON} AS name, {pick(17, 8, states.STATES)} AS state,
 FROM (SELECT o_orderkey + 1 AS id, {sha('state sale', 'o_orderkey + 1')} AS d FROM orders)"""
 
 
+#: The columns of ``enriched`` that are profiled.
+_PROFILED = (
+    "txn_id", "txn_ts", "customer_id", "product_id", "quantity", "channel", "region", "gender",
+    "category", "subcategory", "product_name", "base_price", "unit_price", "order_date", "yyyymm",
+)
+
+#: For every type of the lattice its place and how many values fit it.
+_FITTING = [
+    f"{{'place': {place}, 'n': count(*) FILTER (regexp_matches(value, '{pattern}')"
+    f" AND TRY_CAST(value AS {kind.simpleString().removesuffix('_ntz')}) IS NOT NULL)}}"
+    for place, (kind, pattern) in enumerate(LATTICE)
+]
+
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem",
     "scan_guarded": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
@@ -492,4 +506,54 @@ ORACLE: dict[str, str] = {
         SELECT {TXN_COLUMNS}, CAST(txn_ts AS DATE) AS order_date FROM txns WHERE customer_id = (
             SELECT customer_id FROM txns GROUP BY customer_id
             ORDER BY count(*) DESC, customer_id LIMIT 1)""",
+    "scan_csv_inferred": f"""WITH {TXNS}, raw AS (
+          SELECT txn_id, CAST(txn_ts AS VARCHAR) AS txn_ts, CAST(customer_id AS VARCHAR) AS customer_id,
+                 CAST(product_id AS VARCHAR) AS product_id,
+                 CAST(quantity AS VARCHAR) || CASE WHEN channel = 'N' THEN 'x' ELSE '' END AS quantity,
+                 channel
+          FROM txns
+        ), long AS (UNPIVOT raw ON COLUMNS(*) INTO NAME column_name VALUE value
+        ), fits AS (
+          SELECT column_name, count(*) AS value_count, unnest([{", ".join(_FITTING)}]) AS fit
+          FROM long GROUP BY column_name
+        ), best AS (
+          SELECT column_name, value_count, max(fit.n) AS n, min(fit.place) AS place FROM fits
+          WHERE fit.n = (SELECT max(f.fit.n) FROM fits f WHERE f.column_name = fits.column_name)
+          GROUP BY column_name, value_count)
+        SELECT column_name, value_count,
+               CASE WHEN value_count - n <= 0.5 * value_count
+                    THEN list_value({", ".join(f"'{kind.simpleString()}'" for kind, _ in LATTICE)})[place + 1]
+                    ELSE 'string' END AS type,
+               CAST(CASE WHEN value_count - n <= 0.5 * value_count
+                         THEN value_count - n ELSE 0 END AS BIGINT) AS misfits
+        FROM best""",
+    "revenue_cube": f"""{WITH_SILVER}
+        SELECT yyyymm, region, category, CAST(GROUPING_ID(yyyymm, region, category) AS INT) AS grain,
+               CAST(SUM(total_amount) AS DOUBLE) AS revenue, CAST(SUM(quantity) AS BIGINT) AS units,
+               COUNT(*) AS row_count
+        FROM silver GROUP BY CUBE (yyyymm, region, category)""",
+    "distinct_customers_any_grain": f"""{WITH_SILVER}
+        SELECT yyyymm, region, category, CAST(GROUPING_ID(yyyymm, region, category) AS INT) AS grain,
+               COUNT(DISTINCT customer_id) AS customer_count, true AS sketch_is_near
+        FROM silver GROUP BY CUBE (yyyymm, region, category)""",
+    "column_profile": f"""{WITH_ENRICHED}
+        {" UNION ALL ".join(
+            f"SELECT '{name}' AS column_name, COUNT(*) AS row_count,"
+            f" COUNT(*) - COUNT({name}) AS null_count, true AS distinct_is_near,"
+            " true AS frequent_is_near FROM enriched" for name in _PROFILED)}""",
+    "quarantine_txns": f"""{STAR}, broken AS (
+        SELECT txn_id, unnest([
+            CASE WHEN quantity >= 1 THEN NULL ELSE 'positive_quantity' END,
+            CASE WHEN txn_ts IS NOT NULL THEN NULL ELSE 'known_time' END,
+            CASE WHEN channel IN ('A', 'N') THEN NULL ELSE 'known_channel' END,
+            CASE WHEN customer_id IN (SELECT customer_id FROM customers) THEN NULL
+                 ELSE 'known_customer' END,
+            CASE WHEN product_id IN (SELECT product_id FROM products) THEN NULL
+                 ELSE 'known_product' END]) AS rule
+        FROM txns)
+        SELECT txn_id, rule, COUNT(*) AS row_count FROM broken WHERE rule IS NOT NULL GROUP BY ALL
+        UNION ALL
+        SELECT txn_id, 'one_row', COUNT(*) FROM txns GROUP BY txn_id HAVING COUNT(*) > 1""",
 }
+ORACLE["scan_csv_inferred_rows"] = f"""SELECT * REPLACE (CAST(customer_id AS INT) AS customer_id,
+    CAST(product_id AS INT) AS product_id) FROM ({ORACLE["scan_csv_typed"]})"""

@@ -46,19 +46,18 @@ PATTERN = (
 )
 #: Texts of other characters go through the file's own library: whether those are letters,
 #: digits or spaces may depend on the release of Unicode that a library follows.
-_OTHER = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f\u2018-\u201e]")
+_OTHER = r"[^\t\n\r\x20-\x7e\xa1-\u024f\u2018-\u201e]"
 
 
 class Ids:
-    """Ids of texts as little-endian 32-bit bytes.
+    """Ids of texts as little-endian 32-bit bytes, as the file's own library gives them.
 
-    The file's vocabulary and cutting pattern also drive a faster encoder, which gives the
-    same ids for texts in Latin script.
+    The file's vocabulary and cutting pattern also drive a faster encoder, which gives the same
+    ids for texts in Latin script without strings that have an id of their own.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
         characters = dict(zip(bytes_char().values(), bytes_char().keys(), strict=True))
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         ranks = {
@@ -67,8 +66,10 @@ class Ids:
             if all(c in characters for c in token)
         }
         added = self.tokenizer.get_added_tokens_decoder()
-        for token in added.values():
-            ranks.pop(token.content.encode(), None)
+        strings = [token.content for token in added.values()]
+        for string in strings:
+            ranks.pop(string.encode(), None)
+        self.needs_library = re.compile("|".join([_OTHER, *map(re.escape, strings)])).search
         self.fast = tiktoken.Encoding(
             Path(path).stem, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
@@ -76,7 +77,7 @@ class Ids:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _OTHER.search(text):
+        if self.needs_library(text):
             encoded = self.tokenizer.encode(text, add_special_tokens=False)
             return np.array(encoded.ids, "<u4").tobytes()
         return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()

@@ -120,11 +120,11 @@ def test_query_reads_back_every_document(spark):
 def test_fast_ids_are_the_files_ids(spark):
     ids = packing.Ids(BYTE_MODEL)
     tokenizer = Tokenizer.from_file(BYTE_MODEL)
-    tokenizer.encode_special_tokens = True
     draw = random.Random(1)
     letters = " abAB'1.\n\t　éñ\x1c\x85​日s<|endoftext|>"
     texts = texts_of(spark, 100) + ["".join(draw.choices(letters, k=draw.randint(0, 20))) for _ in range(5000)]
-    texts += ["a <|endoftext|> b", "don't  'll  I'm ' s", "\n \n a", "\x00", "ÅÄÖ 12 ½ ²"]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>é日", "<|endoftext|", LONG, "don't  'll  I'm ' s", "\n \n a", "\x00", "ÅÄÖ 12 ½ ²"]
+    assert np.frombuffer(ids("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
     for text in texts:
         want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         assert ids(text) == want.tobytes()
@@ -134,7 +134,6 @@ def checked(spark, rows, frame, capacity=packing.CAPACITY):
     """Every token in its place, sequences gapless; the number of sequences and tokens."""
     placed = packing.pack(frame, BYTE_MODEL, capacity).collect()
     tokenizer = Tokenizer.from_file(BYTE_MODEL)
-    tokenizer.encode_special_tokens = True
     want = defaultdict(int)
     for doc_id, text in rows:
         ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
@@ -157,10 +156,11 @@ def checked(spark, rows, frame, capacity=packing.CAPACITY):
 
 
 def test_packs_odd_rows(spark):
-    rows = [(doc_id, text) for doc_id, text in ODD_TEXTS if text != LONG]
+    rows = [*ODD_TEXTS, (30, "a <|endoftext|> b"), (31, "<|endoftext|>")]
     rows += [(20, "word " * 5000), (20, "word " * 5000), (21, "x" * 2047)]
     for capacity in (7, packing.CAPACITY):
-        checked(spark, rows, documents(spark, rows), capacity)
+        some = [row for row in rows if capacity > 7 or row[1] != LONG]
+        checked(spark, some, documents(spark, some), capacity)
     assert packing.pack(documents(spark, []), BYTE_MODEL).count() == 0
 
 

@@ -63,7 +63,7 @@ def shape(word: str) -> str:
             return "Aa"
     for pattern, replacement in _CLASSES:
         word = pattern.sub(replacement, word)
-    return word[:32]
+    return word
 
 
 class Grams:

@@ -202,8 +202,8 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node of its component, for all nodes of the edges
     (a, b). Alternating large-star and small-star steps: every step replaces a node's links
-    by links to its smallest neighbour, until only stars are left. A step aggregates before
-    it shuffles and joins by node, so a node with very many links is split like any hot key.
+    by links to its smallest neighbour, until only stars are left. What is joined by node is
+    written first, so that adaptive execution splits a node with very many links.
     """
     edges = kept(_downward(edges), "edges")
     before = None
@@ -212,10 +212,12 @@ def components(edges: DataFrame) -> DataFrame:
         nearest = both.groupBy("a").agg(F.min("b").alias("least")).select(
             "a", F.least("a", "least").alias("least")
         )
+        nearest = kept(nearest, "nearest")
         large = _downward(
             both.where("b > a").join(nearest, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         )
-        nearest = large.groupBy("a").agg(F.min("b").alias("least"))
+        large = kept(large, "large")
+        nearest = kept(large.groupBy("a").agg(F.min("b").alias("least")), "nearest")
         small = large.join(nearest, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         edges = kept(_downward(small.unionByName(nearest.toDF("a", "b"))), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -634,6 +634,34 @@ def mode_full(spark, sf_dir):
     return _mode_counts(spark, sf_dir, "full")
 
 
+@query
+def mode_full_outputs(spark, sf_dir):
+    """Three tables of one kept frame: the joined rows lie in a set number of partitions, spread
+    by region, and are computed once. The tables are stored before the frame is released."""
+    star = trade.star(spark, sf_dir)
+    dimensions = [
+        ("customer_id", clean.pruned_customers(star.customers)),
+        ("product_id", clean.pruned_products(star.products)),
+    ]
+    columns = ["region", "category", "quantity", "txn_ts"]
+    tasks = _tasks(spark, sf_dir)
+    with modes.joined("full", star.txns, dimensions, columns, partitions=tasks) as frame:
+        outputs = {
+            "rows by region": frame.groupBy(F.col("region").alias("key")),
+            "rows by category": frame.groupBy(F.col("category").alias("key")),
+            "rows by month": frame.groupBy(month_key("txn_ts").alias("key")),
+        }
+        stored = []
+        for name, groups in outputs.items():
+            table = groups.agg(
+                F.count(F.lit(1)).alias("row_count"), F.sum("quantity").alias("units")
+            ).select(F.lit(name).alias("output"), "key", "row_count", "units")
+            path = fresh_path(spark, "output")
+            write_table(table, path, dry_run=False)
+            stored.append(tables.read_table(spark, path, table.schema))
+    return reduce(DataFrame.unionAll, stored)
+
+
 @query
 def keyed_mode_counts(spark, sf_dir):
     """Rows per region of the text-keyed tables under each mode, side by side."""
@@ -894,37 +922,41 @@ def distinct_customers_any_grain(spark, sf_dir):
 # Data quality over all rows
 
 
-def _near_profile(sales, found):
+def _near_profile(rows, found):
     """Whether each column's sketches come within their stated errors of what counting gives."""
-    checks = []
-    for name in sales.columns:
-        values = sales.where(F.col(name).isNotNull()).groupBy(F.col(name).cast("string").alias("value"))
-        counted = values.agg(F.count(F.lit(1)).alias("rows"))
-        whole = counted.agg(
-            F.count(F.lit(1)).alias("distinct"), F.coalesce(F.sum("rows"), F.lit(0)).alias("n")
-        )
-        row = found.where(F.col("column_name") == name).crossJoin(F.broadcast(whole))
-        off = F.abs(F.col("distinct_count") - F.col("distinct"))
-        claimed = row.select("n", F.explode_outer("frequent").alias("top"))
-        wrong = claimed.join(counted, F.col("top.value") == F.col("value"), "left").agg(
-            F.coalesce(
-                F.max(
-                    F.abs(F.col("top.count") - F.coalesce("rows", F.lit(0)))
-                    > F.ceil(F.col("n") * 3.5 / profile.TRACKED)
-                ),
-                F.lit(False),
-            ).alias("wrong")
-        )
-        checks.append(
-            row.crossJoin(F.broadcast(wrong)).select(
-                "column_name",
-                "row_count",
-                "null_count",
-                (off <= F.ceil(F.col("distinct") * profile.DISTINCT_ERROR)).alias("distinct_is_near"),
-                (~F.col("wrong")).alias("frequent_is_near"),
-            )
-        )
-    return reduce(DataFrame.unionAll, checks)
+    counted = reduce(
+        DataFrame.unionAll,
+        [
+            rows.where(F.col(name).isNotNull())
+            .groupBy(F.lit(name).alias("of"), F.col(name).cast("string").alias("value"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+            for name in rows.columns
+        ],
+    )
+    whole = counted.groupBy("of").agg(
+        F.count(F.lit(1)).alias("distinct"), F.sum("rows").alias("n")
+    )
+    known = found.join(whole, F.col("column_name") == F.col("of"), "left").drop("of")
+    known = known.na.fill(0, ["distinct", "n"])
+    claimed = known.select("column_name", "n", F.explode("frequent").alias("top"))
+    met = (F.col("column_name") == F.col("of")) & (F.col("top.value") == F.col("value"))
+    too_far = F.abs(F.col("top.count") - F.coalesce("rows", F.lit(0))) > F.ceil(
+        F.col("n") * 3.5 / profile.TRACKED
+    )
+    wrong = (
+        claimed.join(counted, met, "left")
+        .where(too_far)
+        .groupBy(F.col("column_name").alias("wrong"))
+        .agg(F.count(F.lit(1)).alias("values"))
+    )
+    off = F.abs(F.col("distinct_count") - F.col("distinct"))
+    return known.join(wrong, F.col("column_name") == F.col("wrong"), "left").select(
+        "column_name",
+        "row_count",
+        "null_count",
+        (off <= F.ceil(F.col("distinct") * profile.DISTINCT_ERROR)).alias("distinct_is_near"),
+        F.col("wrong").isNull().alias("frequent_is_near"),
+    )
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,7 +32,9 @@ def fill_unknown(df: DataFrame, columns: Sequence[str], value: str = "Unknown")
     return df.fillna(value, subset=list(columns))
 
 
-def first_copy(df: DataFrame, key: str, order: Sequence[str] | None = None) -> DataFrame:
+def first_copy(
+    df: DataFrame, key: str, order: Sequence[str | Column] | None = None
+) -> DataFrame:
     """One row per ``key``, the first by ``order`` (by default all other columns).
 
     The order is total over the columns, so any two rows that tie are equal. Each map task

@@ -555,5 +555,12 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT txn_id, 'one_row', COUNT(*) FROM txns GROUP BY txn_id HAVING COUNT(*) > 1""",
 }
+ORACLE["mode_full_outputs"] = f"""{STAR}, joined AS (
+    SELECT c.region, p.category, t.quantity, strftime(t.txn_ts, '%Y%m') AS month
+    FROM txns t JOIN customers c USING (customer_id) JOIN products p USING (product_id))
+    {" UNION ALL ".join(
+        f"SELECT 'rows by {name}' AS output, {name} AS key, COUNT(*) AS row_count,"
+        f" CAST(SUM(quantity) AS BIGINT) AS units FROM joined GROUP BY {name}"
+        for name in ("region", "category", "month"))}"""
 ORACLE["scan_csv_inferred_rows"] = f"""SELECT * REPLACE (CAST(customer_id AS INT) AS customer_id,
     CAST(product_id AS INT) AS product_id) FROM ({ORACLE["scan_csv_typed"]})"""

@@ -10,7 +10,6 @@ from tallyline.functions.money import line_amount, price
 from tallyline.operators.cleaning import first_copy
 from tallyline.operators.joins import (
     BROADCAST_LIMIT_BYTES,
-    broadcast_if_small,
     join_dimensions,
     measured_bytes,
 )
@@ -50,34 +49,48 @@ def with_derived(df: DataFrame) -> DataFrame:
     )
 
 
-def enriched(star: Star, strategy: str = "broadcast") -> DataFrame:
-    """Every transaction with its customer and product, unknown ones left NULL."""
+def enriched(star: Star, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Every transaction with its customer and product, unknown ones left NULL, once: the
+    dimensions are made unique as for the clean sales."""
+    customers, products = pruned_customers(star.customers), pruned_products(star.products)
+    customers_fit, products_fit = _fitting(limit, customers, products)
     joined = join_dimensions(
         star.txns,
         [
-            ("customer_id", pruned_customers(star.customers)),
-            ("product_id", pruned_products(star.products)),
+            ("customer_id", _hinted(first_copy(customers, "customer_id"), customers_fit)),
+            ("product_id", _hinted(unique_products(products), products_fit)),
         ],
-        strategy=strategy,
+        strategy="auto",
     )
     return with_derived(joined.withColumn("unit_price", F.col("base_price")))
 
 
+def _fitting(limit: int, *dimensions: DataFrame) -> list[bool]:
+    """Whether each dimension fits into a broadcast. Its rows are measured before they are made
+    unique, so what is measured is an upper bound and costs no shuffle, and the unique rows are
+    computed once, by the query alone."""
+    return [size <= limit for size in measured_bytes(*dimensions)]
+
+
+def _hinted(side: DataFrame, fits: bool) -> DataFrame:
+    return F.broadcast(side) if fits else side
+
+
+def unique_products(products: DataFrame) -> DataFrame:
+    """One row for each product. Of several the cheapest one that can be sold counts, so a
+    repeated key can neither multiply sales nor give two prices, whichever join is chosen."""
+    attributes = [name for name in products.columns if name not in ("product_id", "base_price")]
+    can_be_sold = F.coalesce(F.col("base_price") > 0, F.lit(False))
+    return first_copy(products, "product_id", [F.desc(can_be_sold), "base_price", *attributes])
+
+
 def sellable(products: DataFrame) -> DataFrame:
     """Products that can be sold, one row for each key: the price rule for known and unknown
-    products alike. Of several rows of a product that can be sold the first one by price
-    counts, so a repeated key can neither multiply sales nor give two prices, whichever join
-    is chosen. Without attributes the lowest price is all that has to be read."""
+    products alike. Without attributes the lowest price is all that has to be read."""
     sold = products.filter(F.col("base_price") > 0)
-    attributes = [name for name in products.columns if name not in ("product_id", "base_price")]
-    if not attributes:
+    if products.columns == ["product_id", "base_price"]:
         return sold.groupBy("product_id").agg(F.min("base_price").alias("base_price"))
-    return first_copy(sold, "product_id", ["base_price", *attributes])
-
-
-def known_customers(star: Star, columns=CUSTOMER_COLUMNS) -> DataFrame:
-    """Customers with chosen attributes, one row for each key (the first one)."""
-    return first_copy(pruned_customers(star.customers, columns), "customer_id")
+    return unique_products(sold)
 
 
 def unique_valid(txns: DataFrame, products: DataFrame, how: str) -> DataFrame:
@@ -111,9 +124,8 @@ def sales(
     products = pruned_products(star.products)
     if not product_attributes:
         products = products.select("product_id", "base_price")
-    products = sellable(products)
-    (size,) = measured_bytes(products)
-    return priced_sales(star.txns, products, size <= limit)
+    (fits,) = _fitting(limit, products)
+    return priced_sales(star.txns, sellable(products), fits)
 
 
 def sales_by_customer(
@@ -123,13 +135,12 @@ def sales_by_customer(
 
     Customers are joined after the deduplication, which has then dropped the copies.
     """
-    products = sellable(pruned_products(star.products))
-    customers = known_customers(star, columns)
-    products_size, customers_size = measured_bytes(products, customers)
-    if customers_size <= limit:
-        customers = F.broadcast(customers)
-    priced = priced_sales(star.txns, products, products_size <= limit)
-    return priced.join(customers, "customer_id", "left")
+    products = pruned_products(star.products)
+    customers = pruned_customers(star.customers, columns)
+    products_fit, customers_fit = _fitting(limit, products, customers)
+    priced = priced_sales(star.txns, sellable(products), products_fit)
+    unique = first_copy(customers, "customer_id")
+    return priced.join(_hinted(unique, customers_fit), "customer_id", "left")
 
 
 def customer_spend(
@@ -145,15 +156,17 @@ def customer_spend(
         .groupBy("customer_id")
         .agg(F.sum("total_amount").alias("total_spent"))
     )
-    (customers,) = broadcast_if_small(known_customers(star, columns), limit=limit)
-    return spent.join(customers, "customer_id", "left")
+    customers = pruned_customers(star.customers, columns)
+    (fits,) = _fitting(limit, customers)
+    unique = first_copy(customers, "customer_id")
+    return spent.join(_hinted(unique, fits), "customer_id", "left")
 
 
 def count_sales(star: Star, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Rows of the clean sales. Counting ids needs no survivor, so nothing is sorted."""
-    (products,) = broadcast_if_small(
-        sellable(pruned_products(star.products)).select("product_id"), limit=limit
-    )
+    products = pruned_products(star.products).select("product_id", "base_price")
+    (fits,) = _fitting(limit, products)
+    products = _hinted(sellable(products), fits)
     ids = star.txns.filter(F.col("quantity") > 0).join(products, "product_id", "left_semi")
     return ids.select("txn_id").distinct().agg(F.count(F.lit(1)).alias("row_count"))
 

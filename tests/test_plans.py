@@ -202,3 +202,15 @@ def test_sql_over_views_leaves_the_sessions_views_alone(spark):
     assert views.over_silver(spark, frame, views.MONTHLY).first().revenue == 1.5
     assert spark.table("silver_orders").count() == 3
     spark.catalog.dropTempView("silver_orders")
+
+
+def test_full_mode_keeps_one_frame_in_n_partitions(spark, stored_star):
+    dimensions = [("customer_id", pruned_customers(stored_star.customers)), ("product_id", pruned_products(stored_star.products))]
+    columns = ["region", "category", "quantity"]
+    with modes.joined("full", stored_star.txns, dimensions, columns, partitions=13) as frame:
+        assert frame.rdd.getNumPartitions() == 13
+        for key in ("region", "category"):
+            plan = frame.groupBy(key).count()._jdf.queryExecution().executedPlan().toString()
+            assert "InMemoryTableScan" in plan
+        assert frame.is_cached
+    assert not frame.is_cached

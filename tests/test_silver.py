@@ -214,3 +214,38 @@ def test_calendar_trend_does_not_reach_over_a_gap(spark):
     assert found == {
         None: None, "202411": 2.5, "202412": 3.75, "202501": 5.0, "202505": 10.0, "202506": 11.25,
     }
+
+
+def test_a_repeated_dimension_key_counts_a_fact_once_everywhere(spark):
+    """Clean sales and every other view of the facts have one definition of a dimension's row."""
+    products = [(1, "T", None), (1, "Z", 4.0), (1, "A", 9.0), (2, "T", 0.0), (2, "T", None)]
+    customers = [(1, "South"), (1, "North")]
+    given = star(spark, [txn("a", 1, 1, 1), txn("b", 1, 2, 1)], customers, products)
+    for limit in (0, 1 << 20):
+        rows = {row.txn_id: row for row in enriched(given, limit=limit).collect()}
+        assert len(rows) == 2 == enriched(given, limit=limit).count()
+        clean = silver(given, limit=limit).collect()
+        kept = cleaning.keep_valid(enriched(given, limit=limit)).collect()
+        assert [(r.txn_id, r.region, r.category, r.unit_price) for r in clean] == [
+            (r.txn_id, r.region, r.category, r.unit_price) for r in kept
+        ]
+        assert (rows["a"].category, rows["a"].region) == ("Z", "North")
+        assert rows["b"].unit_price == 0 or rows["b"].unit_price is None
+
+
+def test_dimensions_are_measured_without_a_shuffle(spark, monkeypatch):
+    """What decides on the broadcast is one scan; the unique rows are computed by the query."""
+    from tallyline.plans import silver as plan
+
+    seen = []
+    measure = plan.measured_bytes
+    monkeypatch.setattr(
+        plan,
+        "measured_bytes",
+        lambda *sides: (
+            seen.extend(side._jdf.queryExecution().executedPlan().toString() for side in sides),
+            measure(*sides),
+        )[1],
+    )
+    silver(star(spark, [txn("a", 1, 1, 1)]))
+    assert len(seen) == 2 and not any("Exchange" in text or "Window" in text for text in seen)

@@ -79,9 +79,7 @@ FREQUENT_BYTES = 16 * 1024 * 1024
 _CHUNKS = pa.schema(
     [("lang", pa.string()), ("closed", pa.bool_()), ("chunk", pa.binary()), ("freq", pa.int64())]
 )
-_PHRASES = pa.schema(
-    [("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.binary()), ("freq", pa.int64())]
-)
+_PHRASES = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("freq", pa.int64())])
 
 
 class _Hashes(dict):
@@ -95,9 +93,9 @@ class _Hashes(dict):
 
 
 def tokens_of(text: bytes) -> list[bytes]:
-    """The words of a text, and a break wherever a piece ends."""
-    marked = text.translate(_MARKED).replace(BREAK, b" \n ")
-    return list(filter(None, marked.split(b" ")))
+    """The words of a text, with a break between any two pieces."""
+    pieces = filter(None, map(bytes.strip, text.translate(_MARKED).split(BREAK)))
+    return list(filter(None, b" \n ".join(pieces).split(b" ")))
 
 
 def cuts(tokens: list[bytes], hashes: _Hashes) -> list[int]:
@@ -105,10 +103,10 @@ def cuts(tokens: list[bytes], hashes: _Hashes) -> list[int]:
     overlap = MOST_WORDS - 1
     if len(tokens) <= overlap:
         return [0]
-    drawn = np.fromiter(map(hashes.__getitem__, tokens), np.int64, len(tokens))
-    pairs = drawn[1:-overlap] * 31 + drawn[2 : len(tokens) - overlap + 1]
+    drawn = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
+    pairs = _mixed(drawn[1:-overlap], drawn[2 : len(tokens) - overlap + 1])
     found = [0]
-    for at in (np.flatnonzero(pairs % MODULUS == 0) + 1).tolist():
+    for at in (np.flatnonzero(pairs % np.uint64(MODULUS) == 0) + 1).tolist():
         found.extend(range(found[-1] + LONGEST, at, LONGEST))
         found.append(at)
     found.extend(range(found[-1] + LONGEST, len(tokens) - overlap, LONGEST))
@@ -242,8 +240,9 @@ class _Vocabulary(dict):
         found = self[word] = len(shared.words)
         shared.words.append(word)
         shared.langs.append(self.lang)
-        shared.new_hashes.append(xxhash.xxh64_intdigest(word))
-        shared.new_codes.append(self.code)
+        if shared.known is not None:
+            shared.new_hashes.append(xxhash.xxh64_intdigest(word))
+            shared.new_codes.append(self.code)
         return found
 
 
@@ -342,7 +341,6 @@ class _Phrases:
             yield pa.RecordBatch.from_arrays(
                 [
                     langs.take(ids[0]),
-                    pa.array(np.full(len(part), self.length, dtype=np.int32)),
                     phrase,
                     pa.array(sums[start : start + 100_000]),
                 ],
@@ -359,7 +357,7 @@ def _counter(length: int, known) -> Callable[[Iterator[pa.RecordBatch]], Iterato
         phrases = _Phrases(length, known.value if known is not None else None)
         for batch in batches:
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
-            chunks = np.array([None, *batch.column("chunk").to_pylist()], dtype=object)[1:]
+            chunks = batch.column("chunk")
             closed = batch.column("closed").to_numpy(zero_copy_only=False)
             freqs = batch.column("freq").to_numpy()
             for lang in dict.fromkeys(langs.tolist()):
@@ -368,7 +366,7 @@ def _counter(length: int, known) -> Callable[[Iterator[pa.RecordBatch]], Iterato
                     part = here[start : start + SLICE]
                     if phrases.full(SLICE * (LONGEST + MOST_WORDS)):
                         yield from phrases.release()
-                    phrases.add(lang, chunks[part].tolist(), closed[part], freqs[part])
+                    phrases.add(lang, chunks.take(pa.array(part)).to_pylist(), closed[part], freqs[part])
         yield from phrases.release()
 
     return count
@@ -397,8 +395,9 @@ def frequent_phrases(chunks: DataFrame, min_count: int) -> DataFrame:
         counted = (
             chunks.mapInArrow(_counter(length, known), from_arrow_schema(_PHRASES))
             .withColumn("phrase", F.col("phrase").cast("string"))
-            .groupBy("lang", "words", "phrase")
+            .groupBy("lang", "phrase")
             .agg(F.sum("freq").alias("freq"))
+            .select("lang", F.lit(length).alias("words"), "phrase", "freq")
         )
         found.append(kept(counted.where(F.col("freq") >= min_count), "frequent"))
         if length < MOST_WORDS:

@@ -3,7 +3,9 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_frames import LONG, rows_of
@@ -20,30 +22,54 @@ def windows(words, most=3):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.sampled_from("abcdefgh"), min_size=1, max_size=80), st.sampled_from([2, 12, 1_024]))
-def test_chunks_hold_each_phrase_once(words, longest):
-    before = collocations.LONGEST
-    collocations.LONGEST = longest
+@given(
+    st.lists(st.sampled_from([*"abcdefgh", "\n"]), min_size=1, max_size=90),
+    st.sampled_from([2, 12, 1_024]),
+    st.sampled_from([3, 32]),
+)
+def test_chunks_hold_each_phrase_once(tokens, longest, modulus):
+    before = collocations.LONGEST, collocations.MODULUS
+    collocations.LONGEST, collocations.MODULUS = longest, modulus
     try:
-        chunks = list(collocations._Cutter().chunks([word.encode() for word in words]))
+        closed, last = collocations.chunks_of([t.encode() for t in tokens], collocations._Hashes())
     finally:
-        collocations.LONGEST = before
-    counted = Counter()
-    for closed, chunk in chunks:
-        parts = chunk.decode().split(" ")
-        starts = len(parts) - (2 if closed else 0)
-        counted.update(
-            " ".join(parts[i : i + k]) for k in (1, 2, 3) for i in range(min(starts, len(parts) - k + 1))
-        )
-    assert counted == Counter(windows(words))
-    assert [closed for closed, _ in chunks] == [True] * (len(chunks) - 1) + [False]
+        collocations.LONGEST, collocations.MODULUS = before
+    wanted = Counter()
+    for piece in " ".join(tokens).split("\n"):
+        wanted.update(windows(piece.split()))
+    found = Counter()
+    for length in (1, 2, 3):
+        held = collocations._Phrases(length, None)
+        held.add("x", [*closed, last], np.array([True] * len(closed) + [False]), np.ones(len(closed) + 1, np.int64))
+        for batch in held.release():
+            for phrase, freq in zip(batch["phrase"].to_pylist(), batch["freq"].to_pylist(), strict=True):
+                found[phrase.decode()] += freq
+    assert found == wanted
+    assert all(chunk.count(b" ") < longest + 2 for chunk in [*closed, last]) or longest == 2
+
+
+def test_tokens_keep_words_and_ends():
+    text = "  A.b\t. \n\nC d,,\x0be\xa0f É! ".encode()
+    assert collocations.tokens_of(text) == [
+        b"a", b"\n", b"b", b"\n", b"c", b"d", b"\n", "e\xa0f".encode(), "É".encode()
+    ]
+    assert collocations.tokens_of(b" \t\n.,") == []
+
+
+def test_repeats_do_not_cut_everywhere():
+    closed, last = collocations.chunks_of([b"na"] * 5_000, collocations._Hashes())
+    assert len(closed) < 10 or len(closed) > 4_900  # the pair cuts or does not, by its hash
+    words = [b"w%d" % (k % 977) for k in range(20_000)]
+    closed, _ = collocations.chunks_of(words, collocations._Hashes())
+    assert 20_000 / 60 < len(closed) < 20_000 / 18
 
 
 def test_equal_passages_give_equal_chunks():
-    passage = [b"w%d" % (k * 7919 % 1009) for k in range(300)]
-    one = list(collocations._Cutter().chunks([b"x"] * 7 + passage))
-    other = list(collocations._Cutter().chunks([b"y", b"z"] + passage + [b"q"]))
-    assert len(set(one) & set(other)) >= 0.8 * len(one) > 8
+    passage = [b"w%d" % (k * 7919 % 1009) for k in range(900)]
+    hashes = collocations._Hashes()
+    one, _ = collocations.chunks_of([b"x"] + passage, hashes)
+    other, _ = collocations.chunks_of([b"y", b"z"] + passage + [b"q"], hashes)
+    assert len(set(one) & set(other)) >= len(one) - 2 > 8
 
 
 def plain(rows, min_count=10, best=2_000):
@@ -119,3 +145,18 @@ def test_small_holds_change_nothing(spark, monkeypatch):
 def test_empty(spark):
     assert collocations.collocations(frame(spark, [])).count() == 0
     assert collocations.collocations(frame(spark, [(None, None), ("once only", "en")])).count() == 0
+    one_word = frame(spark, [("word", "en")] * 12).coalesce(1)
+    assert collocations.collocations(one_word).count() == 0
+
+
+def test_filter_holds_what_was_put_in(spark):
+    rows = [("en", 2, f"a{k} b{k % 7}", 12) for k in range(4_000)]
+    put = spark.createDataFrame(rows, "lang string, words int, phrase string, freq long")
+    made = collocations.filter_of(put, 2)
+    hits, lang = 0, collocations._lang_hash("en")
+    for word, other in [(f"a{k}", f"b{k % 7}") for k in range(0, 4_000, 40)]:
+        words = np.array([xxhash.xxh64_intdigest(w.encode()) for w in (word, other)], np.uint64)
+        hashes = collocations.phrase_hashes(words, lang, 2)
+        assert made.holds(hashes).tolist() == [True]
+        hits += made.holds(hashes + np.uint64(12345)).sum()
+    assert hits <= 10

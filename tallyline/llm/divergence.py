@@ -1,8 +1,9 @@
 """Source divergence audit: how the term shares of every two sources of a language differ.
 
-Terms are counted once by (lang, source, term). Terms in enough documents of a language form its
-vocabulary; they are dealt into blocks of bounded size and numbered inside them, so a group is a
-sorted array of (term id, count) for each block in which it has any term. For every unordered pair
+Terms are counted once by (lang, source, term), in one shuffle that brings together all that a
+language has of a term. Terms in enough documents of a language form its vocabulary, are numbered
+where they were counted and dealt into blocks of bounded size, so a group is a sorted array of
+(term id, count) for each block in which it has any term. For every unordered pair
 of groups of a language and every block one task gets both arrays, finds the terms of the shorter
 one in the longer one by galloping, and prices shared and one-sided terms both ways. Terms that
 neither group has all have the same price, so they are only counted.
@@ -19,11 +20,11 @@ group or term has is summed where its rows are.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,9 +44,11 @@ SCALE = 1_000_000_000
 MIN_DOCUMENTS = 3
 TOP_TERMS = 200
 
-#: Terms that a block is meant to hold, and the entries a worker sums before it lets them go.
+#: Terms that a block is meant to hold, the buckets of hashes that blocks are made of, and the
+#: bytes of documents that a worker sums at once.
 BLOCK_TERMS = 8_192
-HELD_TERMS = 400_000
+BUCKETS = 65_536
+HELD_BYTES = 16 * 1024 * 1024
 
 #: Bytes up to which the table of groups is broadcast.
 GROUP_BYTES = 16 * 1024 * 1024
@@ -58,58 +61,127 @@ _COUNTED = "lang string, source string, term binary, count long, docs long"
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts and document counts of terms by group; the empty term stands for the group."""
-    held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
-    size = 0
+    held, size = [], 0
     for batch in batches:
-        columns = (batch.column(name).to_pylist() for name in ("lang", "source", "text"))
-        for lang, source, text in zip(*columns, strict=True):
-            group = held.setdefault((lang, source), {b"": [0, 0]})
-            size -= len(group)
-            for term, count in Counter(text.translate(_LETTERS).split()).items():
-                entry = group.get(term)
-                if entry is None:
-                    group[term] = [count, 1]
-                else:
-                    entry[0] += count
-                    entry[1] += 1
-            size += len(group)
-        if size > HELD_TERMS:
-            yield from _released(held)
-            held, size = {}, 0
-    yield from _released(held)
-
-
-def _released(held: dict) -> Iterator[pa.RecordBatch]:
-    for (lang, source), group in held.items():
-        terms = list(group)
-        for start in range(0, len(terms), 50_000):
-            part = terms[start : start + 50_000]
-            counts, docs = zip(*[group[term] for term in part], strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(part), pa.string()),
-                    pa.array([source] * len(part), pa.string()),
-                    pa.array(part, pa.binary()),
-                    pa.array(counts, pa.int64()),
-                    pa.array(docs, pa.int64()),
-                ],
-                names=["lang", "source", "term", "count", "docs"],
-            )
+        if held and size + batch.nbytes > HELD_BYTES:
+            yield from _summed(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield from _summed(held)
+
+
+def _terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The terms of all texts in a row, and which text each one is of."""
+    _, offsets, letters = texts.buffers()
+    letters = pa.py_buffer((letters.to_pybytes() if letters else b"").translate(_LETTERS))
+    texts = pa.Array.from_buffers(
+        pa.string(), len(texts), [None, offsets, letters], offset=texts.offset
+    )
+    split = pc.ascii_split_whitespace(texts)
+    terms, of = split.flatten(), pc.list_parent_indices(split)
+    there = pc.greater(pc.binary_length(terms), 0)
+    return terms.filter(there), of.filter(there).to_numpy().astype(np.int64)
+
+
+def _summed(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts are ranked by group, so that of all (term, rank of its text) in order those of one
+    term and group are neighbours, and among them those of one text."""
+    whole = pa.Table.from_batches(batches).combine_chunks()
+    langs, sources = (
+        whole.column(name).combine_chunks().cast(pa.string()).dictionary_encode()
+        for name in ("lang", "source")
+    )
+    group_of = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary)
+    group_of += sources.indices.to_numpy()
+    ranked = np.argsort(group_of, kind="stable")
+    groups = group_of[ranked]
+    rank = np.empty(len(ranked), dtype=np.int64)
+    rank[ranked] = np.arange(len(ranked))
+
+    terms, of = _terms(whole.column("text").combine_chunks().cast(pa.binary()))
+    terms = terms.dictionary_encode()
+    bits = len(ranked).bit_length()
+    found = terms.indices.to_numpy().astype(np.int64) << bits
+    found |= rank[of]
+    found.sort()
+    term, group = found >> bits, groups[found & ((1 << bits) - 1)]
+    first = np.ones(len(found), dtype=bool)
+    first[1:] = (term[1:] != term[:-1]) | (group[1:] != group[:-1])
+    starts = np.flatnonzero(first)
+    new_text = np.ones(len(found), dtype=np.int64)
+    new_text[1:] = found[1:] != found[:-1]
+    docs = np.add.reduceat(new_text, starts) if len(starts) else starts
+    counts = np.diff(starts, append=len(found))
+    yield from _rows(
+        (langs.dictionary, sources.dictionary), group[starts],
+        terms.dictionary.cast(pa.binary()).take(pa.array(term[starts])), counts, docs,
+    )
+    groups = np.unique(groups)
+    none = np.zeros(len(groups), dtype=np.int64)
+    empty = pa.array([b""] * len(groups), pa.binary())
+    yield from _rows((langs.dictionary, sources.dictionary), groups, empty, none, none)
+
+
+def _rows(
+    names: tuple[pa.Array, pa.Array],
+    group: np.ndarray,
+    terms: pa.Array,
+    counts: np.ndarray,
+    docs: np.ndarray,
+) -> Iterator[pa.RecordBatch]:
+    langs, sources = names
+    for start in range(0, len(group), 50_000):
+        part = slice(start, start + 50_000)
+        lang, source = np.divmod(group[part], len(sources))
+        yield pa.RecordBatch.from_arrays(
+            [
+                langs.take(pa.array(lang)),
+                sources.take(pa.array(source)),
+                terms[part],
+                pa.array(counts[part], pa.int64()),
+                pa.array(docs[part], pa.int64()),
+            ],
+            names=["lang", "source", "term", "count", "docs"],
+        )
 
 
 def term_counts(documents: DataFrame) -> DataFrame:
-    """lang, source, term, count, docs; a row with an empty term for every group."""
+    """lang, bucket, source, term, count, docs; a row with an empty term for every group.
+
+    A worker has summed its rows already, so they are dealt by language and bucket of hashes
+    before Spark sums them: all that is asked of a term later is where it was summed.
+    """
     ship(documents.sparkSession)
     docs = pick(documents, "lang", "source", "text").na.fill("")
     return (
         docs.withColumn("text", F.col("text").cast("binary"))
         .mapInArrow(_counted, _COUNTED)
         .withColumn("term", F.col("term").cast("string"))
-        .groupBy("lang", "source", "term")
+        .withColumn("bucket", F.expr(f"CAST(pmod(xxhash64(term), {BUCKETS}) AS INT)"))
+        .repartition("lang", "bucket")
+        .groupBy("lang", "bucket", "source", "term")
         .agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
     )
 
 
+def numbered(counted: DataFrame, min_documents: int) -> DataFrame:
+    """lang, bucket, source, term, count of the vocabulary, and of each term its number, its count
+    in the language and, in one of its rows only, ``head``. Rows of the empty term stay."""
+    term = Window.partitionBy("bucket", "lang", "term")
+    order = Window.partitionBy("bucket", "lang").orderBy("term")
+    return (
+        counted.withColumn("lang_count", F.sum("count").over(term))
+        .withColumn("lang_docs", F.sum("docs").over(term))
+        .withColumn("head", F.col("source") == F.min("source").over(term))
+        .withColumn("place", F.dense_rank().over(order))
+        .where((F.col("lang_docs") >= min_documents) | (F.col("term") == ""))
+        .withColumn("id", F.expr(f"CAST(place AS BIGINT) * {BUCKETS} + bucket"))
+        .drop("docs", "lang_docs", "place")
+    )
+
+
 def shares(counts: np.ndarray, total: int) -> np.ndarray:
     """1 + floor(SCALE * (count + 1) / total), by long division in steps of three digits."""
     quotient, rest = np.divmod(counts.astype(np.int64) + 1, total)
@@ -220,42 +292,27 @@ def audit(
     ``term``: the terms that the source has a larger share of than its language, the dearest
     ``top_terms`` of them.
     """
-    counted = kept(term_counts(documents), "terms")
-    used = (
-        counted.where("term <> ''")
-        .groupBy("lang", "term")
-        .agg(F.sum("count").alias("lang_count"), F.sum("docs").alias("docs"))
-        .where(F.col("docs") >= min_documents)
-        .drop("docs")
-    )
-    used = kept(used, "used")
-    langs = used.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("terms"), F.sum("lang_count").alias("words")
+    counted = kept(numbered(term_counts(documents), min_documents), "terms")
+    occurring = counted.where("term <> ''")
+    a_term = F.col("head") & (F.col("term") != "")
+    sums = counted.groupBy("lang", "source").agg(
+        F.sum("count").alias("words_here"),
+        F.count_if(a_term).alias("terms"),
+        F.sum(F.when(a_term, F.col("lang_count")).otherwise(0)).alias("words"),
     )
-    block = F.expr(f"pmod(xxhash64(term), terms div {BLOCK_TERMS} + 1)")
-    number = F.row_number().over(Window.partitionBy("lang", "block").orderBy("term"))
-    vocabulary = kept(
-        _same_lang(used, langs).withColumn("block", block).withColumn("id", number)
-        .select("lang", "term", "lang_count", "block", "id"),
-        "vocabulary",
-    )
-    occurring = kept(
-        counted.where("term <> ''").drop("docs").join(vocabulary, ["lang", "term"]), "occurring"
-    )
-
-    sums = occurring.groupBy("lang", "source").agg(F.sum("count").alias("words_here"))
+    sums = kept(sums, "sums")
+    langs = sums.groupBy("lang").agg(F.sum("terms").alias("terms"), F.sum("words").alias("words"))
     groups = (
-        counted.where("term = ''")
-        .select("lang", "source")
-        .join(sums, ["lang", "source"], "left")
-        .join(langs, "lang", "left")
-        .na.fill(0)
+        sums.select("lang", "source", "words_here")
+        .join(langs, "lang")
         .selectExpr(
             "lang", "source", "terms", "words_here + terms AS total", "words + terms AS lang_total"
         )
     )
     groups = kept(groups, "groups")
-    return _pair_part(occurring, groups).unionByName(_term_part(occurring, groups, top_terms))
+    block = F.expr(f"pmod(bucket, terms div {BLOCK_TERMS} + 1)")
+    dealt = _same_lang(occurring, langs).withColumn("block", block)
+    return _pair_part(dealt, groups).unionByName(_term_part(occurring, groups, top_terms))
 
 
 def _ranked(rows: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -116,3 +117,44 @@ def test_empty(spark):
     few = [("a b", "en", "x"), (None, "en", "y"), ("a", None, "y")]
     got = rows_of(divergence.audit(frame(spark, few)), *COLUMNS)
     assert got == [("en", "x", "pair", "y", 0, 1), ("en", "y", "pair", "x", 0, 1)]
+
+
+def batch(rows):
+    names = ["text", "lang", "source"]
+    columns = zip(*rows, strict=True)
+    types = (pa.binary(), pa.string(), pa.string())
+    arrays = [pa.array(c, kind) for c, kind in zip(columns, types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def test_a_worker_sums_many_terms(monkeypatch):
+    """Each term of a group leaves a worker once, however many there are, until the bytes are many."""
+    text = " ".join(f"{chr(97 + a)}{chr(97 + b)}{chr(97 + c)}{chr(97 + d)}" for a in range(26)
+                    for b in range(26) for c in range(26) for d in range(26)).encode()
+    rows = [(text + b" aaaa AAAA", "en", "x"), (b"", "fr", ""), (text, "en", "x"), (b" aaaa\xc3\xa9.", "en", "y")]
+
+    def found():
+        parts = divergence._counted(iter([batch(rows[:2]), batch(rows[2:]).slice(0), batch(rows[2:]).slice(1)]))
+        return [row for part in parts for row in part.to_pylist()]
+
+    got = found()
+    assert len(got) == 26**4 + 1 + 3
+    keyed = {(row["lang"], row["source"], row["term"]): (row["count"], row["docs"]) for row in got}
+    assert keyed["en", "x", b"aaaa"] == (4, 2) and keyed["en", "x", b"zzzz"] == (2, 2)
+    assert keyed["en", "y", "aaaaé".encode()] == (2, 2)
+    assert keyed["fr", "", b""] == keyed["en", "x", b""] == (0, 0)
+    monkeypatch.setattr(divergence, "HELD_BYTES", 1)
+    apart = Counter()
+    for row in found():
+        apart[row["lang"], row["source"], row["term"]] += row["count"]
+    assert apart == Counter({key: count for key, (count, _) in keyed.items()})
+
+
+def test_terms_are_shuffled_once_before_they_are_numbered(spark):
+    counted = divergence.numbered(divergence.term_counts(frame(spark, ROWS)), 3)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange") == 1
+    ids = counted.where("term <> ''").select("lang", "term", "id").distinct().collect()
+    assert len({(r.lang, r.id) for r in ids}) == len({(r.lang, r.term) for r in ids}) == len(ids) > 40
+    heads = counted.where("head").select("lang", "term").collect()
+    assert len(heads) == len(set(heads)) == counted.select("lang", "term").distinct().count()

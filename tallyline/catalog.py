@@ -922,40 +922,51 @@ def distinct_customers_any_grain(spark, sf_dir):
 # Data quality over all rows
 
 
-def _near_profile(rows, found):
-    """Whether each column's sketches come within their stated errors of what counting gives."""
-    counted = reduce(
-        DataFrame.unionAll,
-        [
-            rows.where(F.col(name).isNotNull())
-            .groupBy(F.lit(name).alias("of"), F.col(name).cast("string").alias("value"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-            for name in rows.columns
-        ],
+#: Types whose values and texts are one to one, so that values may be counted before they are texts.
+_ONE_TEXT = (T.StringType, T.IntegralType, T.DateType, T.DecimalType, T.TimestampNTZType)
+
+
+def _value_counts(rows, name):
+    """The rows of each value of a column, as text."""
+    text = F.col(name).cast("string")
+    early = isinstance(rows.schema[name].dataType, _ONE_TEXT)
+    known = rows.where(F.col(name).isNotNull())
+    counted = known.groupBy((F.col(name) if early else text).alias("value"))
+    return counted.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(name).alias("of"), F.col("value").cast("string").alias("value"), "rows"
     )
-    whole = counted.groupBy("of").agg(
-        F.count(F.lit(1)).alias("distinct"), F.sum("rows").alias("n")
+
+
+def _near_profile(rows, found):
+    """Whether each column's sketches come within their stated errors of what counting gives. Each
+    column is counted once: what the sketches claim is looked up while its values are counted."""
+    counted = reduce(DataFrame.unionAll, [_value_counts(rows, name) for name in rows.columns])
+    claimed = found.select("column_name", F.explode("frequent.value").alias("claim"))
+    met = (F.col("of") == F.col("column_name")) & (F.col("value") == F.col("claim"))
+    claim = F.when(F.col("claim").isNotNull(), F.struct("value", "rows"))
+    whole = (
+        counted.join(F.broadcast(claimed), met, "left")
+        .groupBy("of")
+        .agg(
+            F.count(F.lit(1)).alias("distinct"),
+            F.sum("rows").alias("n"),
+            F.map_from_entries(F.collect_list(claim)).alias("counts"),
+        )
     )
-    known = found.join(whole, F.col("column_name") == F.col("of"), "left").drop("of")
+    known = found.join(whole, F.col("column_name") == F.col("of"), "left")
     known = known.na.fill(0, ["distinct", "n"])
-    claimed = known.select("column_name", "n", F.explode("frequent").alias("top"))
-    met = (F.col("column_name") == F.col("of")) & (F.col("top.value") == F.col("value"))
-    too_far = F.abs(F.col("top.count") - F.coalesce("rows", F.lit(0))) > F.ceil(
-        F.col("n") * 3.5 / profile.TRACKED
-    )
-    wrong = (
-        claimed.join(counted, met, "left")
-        .where(too_far)
-        .groupBy(F.col("column_name").alias("wrong"))
-        .agg(F.count(F.lit(1)).alias("values"))
-    )
+    slack = F.ceil(F.col("n") * 3.5 / profile.TRACKED)
+
+    def too_far(top):
+        return F.abs(top["count"] - F.coalesce(F.col("counts")[top["value"]], F.lit(0))) > slack
+
     off = F.abs(F.col("distinct_count") - F.col("distinct"))
-    return known.join(wrong, F.col("column_name") == F.col("wrong"), "left").select(
+    return known.select(
         "column_name",
         "row_count",
         "null_count",
         (off <= F.ceil(F.col("distinct") * profile.DISTINCT_ERROR)).alias("distinct_is_near"),
-        F.col("wrong").isNull().alias("frequent_is_near"),
+        (~F.coalesce(F.exists("frequent", too_far), F.lit(False))).alias("frequent_is_near"),
     )
 
 

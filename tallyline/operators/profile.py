@@ -69,9 +69,14 @@ def sketches(df: DataFrame, columns: Sequence[str], parts: int = PARTS) -> DataF
         *[F.lit(None).cast(df.schema[name].dataType).alias(name) for name in columns],
         F.lit(0).cast("long").alias("_row"),
     )
+    # Two sketches take the text of a value, which is made once.
+    mark = "_" * (1 + max(map(len, columns), default=0))
+    given = given.unionByName(nothing).withColumns(
+        {f"{mark}{position}": F.col(name).cast("string") for position, name in enumerate(columns)}
+    )
     state = [F.sum("_row").alias("rows")]
     for position, name in enumerate(columns):
-        text = F.col(name).cast("string")
+        text = F.col(f"{mark}{position}")
         state += [
             F.count(F.col(name)).alias(f"n{position}"),
             F.hll_sketch_agg(text, LOG_REGISTERS).alias(f"d{position}"),
@@ -82,7 +87,7 @@ def sketches(df: DataFrame, columns: Sequence[str], parts: int = PARTS) -> DataF
             sketch = F.call_function(f"kll_sketch_agg_{number[0]}", number[1], F.lit(KLL_SIZE))
             state.append(sketch.alias(f"q{position}"))
     part = F.pmod(F.spark_partition_id(), F.lit(parts)).alias("part")
-    return given.unionByName(nothing).groupBy(part).agg(*state)
+    return given.groupBy(part).agg(*state)
 
 
 def merged(states: DataFrame, schema: T.StructType, columns: Sequence[str]) -> DataFrame:

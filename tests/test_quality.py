@@ -2,10 +2,13 @@
 
 import random
 from collections import Counter
+from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyline import catalog
 from tallyline.operators import constraints, profile
 from tallyline.operators.constraints import Check, ForeignKey, Unique
 from tallyline.plans import cubes
@@ -127,6 +130,36 @@ def test_profile_reads_once(spark, tmp_path):
     assert plan.count("FileScan") == 1 and "Expand" not in plan
 
 
+def test_each_column_is_counted_once(spark, tmp_path):
+    """What sketches claim is compared with one count of each column, and false claims are found."""
+    values = [(k, f"v{k % 3}", None, Decimal(k % 7), k / 4, date(2020, 1, 1 + k % 9)) for k in range(500)]
+    schema = "k bigint, t string, none int, d decimal(9,2), f double, day date"
+    spark.createDataFrame(values, schema).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    profile.column_profile(rows, parts=3).write.parquet(str(tmp_path / "found"))
+    found = spark.read.parquet(str(tmp_path / "found"))
+    near = catalog._near_profile(rows, found)
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == len(rows.columns) + 2
+    assert near.where("distinct_is_near AND frequent_is_near").count() == len(rows.columns)
+    assert near.where("column_name = 'none'").collect()[0].null_count == 500
+
+    def changed(name, **columns):
+        new = [F.when(F.col("column_name") == name, columns[c]).otherwise(F.col(c)).alias(c)
+               if c in columns else F.col(c) for c in found.columns]
+        row = catalog._near_profile(rows, found.select(new)).where(F.col("column_name") == name).collect()[0]
+        return row.distinct_is_near, row.frequent_is_near
+
+    def claim(value, count):
+        return F.array(F.struct(F.lit(value).alias("value"), F.lit(count).cast("long").alias("count")))
+
+    assert changed("t", frequent=claim("v0", 167)) == (True, True)
+    assert changed("t", frequent=claim("v0", 150)) == changed("t", frequent=claim("other", 5)) == (True, False)
+    assert changed("d", frequent=claim("1.00", 72)) == changed("f", frequent=claim("0.25", 1)) == (True, True)
+    assert changed("day", frequent=claim("2020-01-01", 40)) == (True, False)
+    assert changed("k", distinct_count=F.lit(400).cast("long")) == (False, True)
+
+
 # Inferred types
 
 
